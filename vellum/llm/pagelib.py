@@ -261,6 +261,25 @@ def correct(word: str, count: int, forms: dict[str, int], ratio: int = 25) -> st
     return best
 
 
+_CYRILLIC = re.compile("[Ѐ-џѢ-ѵ]")
+_TO_CYRILLIC = {skeleton(c): c for c in "абвгдежзиклмнопрстухфцчшщъыьэюяёйѣ"}
+
+
+def repaired(raw: str, word: str, reading: str) -> str:
+    """``raw``, whose folded form is ``word``, with what differs in ``reading`` put in its place."""
+    least = min(len(word), len(reading))
+    k = next((i for i in range(least) if word[i] != reading[i]), least)
+    e = next((i for i in range(least - k) if word[-1 - i] != reading[-1 - i]), least - k)
+    at = skeleton(raw).lower().find(word)
+    if at < 0 or len(skeleton(raw)) != len(raw):
+        return reading
+    new = reading[k : len(reading) - e]
+    if _CYRILLIC.search(raw):
+        new = "".join(_TO_CYRILLIC.get(c, c) for c in new)
+    old = raw[at + k : at + len(word) - e]
+    return raw[: at + k] + (new.capitalize() if old[:1].isupper() else new) + raw[at + len(word) - e :]
+
+
 _FOLIO = re.compile(r"\d+[rv]|[\d½¼¾⁄.,/-]+|n:o|\d+[-–.:]\w*")
 _WORDISH = re.compile(r"[^\W\d_]")
 
