@@ -11,6 +11,8 @@ stretch; without any labelled page nothing can be trained and there are no rows.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,8 +29,9 @@ from vellum.sources.tables import table
 SAMPLE_PAGES, SAMPLE_LINES = 120, 1200
 HIDDEN, STEPS, AGAIN = 10, 400, 250
 LEAST = 5  # lines of a stretch, unless it is the page
-SWITCH = 2.5  # what a change of language costs, in units of a line's log-probability
+SWITCH = 6.0  # what a change of language costs, in units of a line's log-probability
 BUFFERED = 8192  # lines labelled at once
+_TWO_LETTERS = re.compile(r"[^\W\d_]{2}")
 _DDL = "page_id BIGINT, page_lines INT, page_kind STRING, first_pos INT, n_lines INT, lang STRING, confidence DOUBLE, n_stretches INT"
 
 
@@ -45,8 +48,9 @@ def training_lines(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def fold(text: str) -> str:
-    """What the network reads of a line: look-alikes resolved, lower case."""
-    return skeleton(text).lower()
+    """What the network reads of a line: look-alikes resolved, lower case, tokens without two letters in a row
+    (figures, marks) left out, as they are of no language."""
+    return " ".join(t for t in skeleton(text).lower().split() if _TWO_LETTERS.search(t))
 
 
 def train(texts: list[str], labels: list[str], seed: int = 1) -> BiGRU:
