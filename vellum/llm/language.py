@@ -30,6 +30,7 @@ SAMPLE_PAGES, SAMPLE_LINES = 120, 1200
 HIDDEN, STEPS, AGAIN = 10, 400, 250
 LEAST = 5  # lines of a stretch, unless it is the page
 SWITCH = 6.0  # what a change of language costs, in units of a line's log-probability
+SURE = 0.65  # confidence below which a page isn't split, nor a label called wrong
 BUFFERED = 8192  # lines labelled at once
 _TWO_LETTERS = re.compile(r"[^\W\d_]{2}")
 _DDL = "page_id BIGINT, page_lines INT, page_kind STRING, first_pos INT, n_lines INT, lang STRING, confidence DOUBLE, n_stretches INT"
@@ -77,13 +78,15 @@ def stretches(logp: np.ndarray, weight: np.ndarray) -> list[tuple[int, int, int,
     cuts = [(0, n, top)]
     if n >= 2 * LEAST and doubt >= 3:
         cuts = _viterbi(e)
-    out = []
-    for a, b, lang in cuts:
-        w = weight[a:b].sum()
-        pooled = (logp[a:b] * weight[a:b, None]).sum(axis=0) / w if w else np.zeros(k)
-        p = np.exp(pooled - pooled.max())
-        out.append((a, b, lang, float(p[lang] / p.sum())))
-    return out
+    found = [_confident(logp, weight, *cut) for cut in cuts]
+    return found if min(c for *_, c in found) >= SURE or len(found) == 1 else [_confident(logp, weight, 0, n, top)]
+
+
+def _confident(logp: np.ndarray, weight: np.ndarray, a: int, b: int, lang: int) -> tuple[int, int, int, float]:
+    w = weight[a:b].sum()
+    pooled = (logp[a:b] * weight[a:b, None]).sum(axis=0) / w if w else np.zeros(logp.shape[1])
+    p = np.exp(pooled - pooled.max())
+    return a, b, lang, float(p[lang] / p.sum())
 
 
 def _viterbi(e: np.ndarray) -> list[tuple[int, int, int]]:
@@ -170,5 +173,5 @@ def p2_found(spark: SparkSession, data_dir: str) -> DataFrame:
     one language; pages of under five lines, tables and junk are no cases."""
     found = p2_segments(spark, data_dir).filter(f"page_lines >= {LEAST} and page_kind not in ('table', 'junk')")
     labels = labelled_language(spark, data_dir)
-    wrong = F.col("label").isNull() | (F.col("n_stretches") > 1) | (F.col("label") != F.col("lang"))
+    wrong = F.col("label").isNull() | (F.col("n_stretches") > 1) | ((F.col("label") != F.col("lang")) & (F.col("confidence") >= SURE))
     return found.join(labels, "page_id", "left").filter(wrong).select("page_id", "first_pos", "lang")
