@@ -1,7 +1,7 @@
 """Problem 7: evaluation texts leaking into training text.
 
 Documents are hashed into shards.  A shard's words become numbers (the items' vocabulary; every other word is 0)
-and its suffixes a suffix array, built by prefix doubling.  Every suffix of every item is binary-searched in
+and its suffixes a suffix array, sorted by packed keys.  Every suffix of every item is binary-searched in
 every shard's array; the suffixes it shares its first MATCH words with are the verbatim matches, which are then
 lengthened to the longest one, with their places.
 
@@ -32,20 +32,25 @@ SHARD_WORDS = 1_500_000
 ITEM_WORDS = 4_000_000
 _DDL = "doc_id BIGINT, item_id BIGINT, n_words INT, doc_at INT, item_at INT"
 _CUT = re.compile(r"([^\W_]+)[-¬=⸗]\s*\n\s*([^\W_]+)")
+_PLAIN_LINES = re.compile(r"[\n -~åäöÅÄÖüÜßéÉ]*\Z")
+_CUT_MARK = re.compile(r"[-¬=⸗]\s*\n")
 _DROP = re.compile(r"[^\w\s]|_")
 
 
 def plain(text: str) -> str:
     """A text without letter case, punctuation and look-alikes; line breaks stay."""
-    lines = (x[:-1].rstrip("­") + "-" if x.endswith("­") else x for x in text.split("\n")) if "­" in text else text.split("\n")
-    return "\n".join(map(skeleton, lines)).lower()
+    if "\u00ad" in text:
+        text = re.sub("\u00ad+[ \t]*(?=\n)", "-", text)
+    if not _PLAIN_LINES.match(text):
+        text = "\n".join(map(skeleton, text.split("\n")))
+    return text.lower()
 
 
 def words(text: str, known: dict[str, int]) -> list[int]:
     """Numbers of a text's words; 0 for a word the items don't have.  Words cut at a line end are joined if the
     joined word is known."""
     s = plain(text)
-    if "\n" in s:
+    if _CUT_MARK.search(s):
         s = _CUT.sub(lambda m: m[1] + m[2] + "\n" if m[1] + m[2] in known else m[0], s)
     return [known.get(w, 0) for w in _DROP.sub("", s).split()]
 
@@ -58,22 +63,46 @@ def item_vocabulary(texts: list[str]) -> dict[str, int]:
     return out
 
 
-def suffix_array(codes: np.ndarray, depth: int = MATCH) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of ``codes`` sorted by their first 16 (or more) codes, by prefix doubling, and their ranks."""
-    n = len(codes)
-    rank = codes.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    width = 1
-    while width < depth and n > 1:
-        nxt = np.zeros(n, dtype=np.int64)
-        nxt[: n - width] = rank[width:] + 1 if width < n else 0
-        key = rank * (int(nxt.max()) + 1) + nxt
-        order = np.argsort(key, kind="stable")
-        k = key[order]
-        new = np.empty(n, dtype=np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(k[1:] != k[:-1])])
-        rank, width = new, width * 2
-    return order, rank
+def suffix_array(codes: np.ndarray, depth: int = MATCH) -> np.ndarray:
+    """Places of the suffixes of ``codes`` (padded by ``depth`` negative codes) sorted by their first ``depth`` codes.
+
+    Codes under 1 stand for words that can't match: suffixes that meet one in their first ``depth`` codes match
+    nothing and are left out.  Codes are packed several to a 64-bit key; only ties are sorted by the next key."""
+    bad = np.concatenate([[0], np.cumsum(codes < 1)])
+    n = len(codes) - depth
+    places = np.flatnonzero(bad[depth : depth + n] == bad[:n]) if n > 0 else np.zeros(0, dtype=np.int64)
+    if not len(places):
+        return places
+    bits = max(1, int(codes.max()).bit_length())
+    each = max(1, 62 // bits)
+
+    def key(k: int, at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), dtype=np.int64)
+        for j in range(k * each, min((k + 1) * each, depth)):
+            out = (out << bits) | codes[at + j]
+        return out
+
+    first = key(0, places)
+    order = np.argsort(first)
+    places, group = places[order], first[order]
+    tied = np.zeros(len(places), dtype=bool)
+    for k in range(1, -(-depth // each)):
+        same = group[1:] == group[:-1]
+        tied[:] = False
+        tied[1:] |= same
+        tied[:-1] |= same
+        at = np.flatnonzero(tied)
+        if not len(at):
+            break
+        # groups keep their stretch of the array, so sorting the tied places by (group, key) sorts in place
+        nxt = key(k, places[at])
+        o = np.lexsort((nxt, group[at]))
+        places[at], nxt, g = places[at][o], nxt[o], group[at][o]
+        new = np.concatenate([[True], (g[1:] != g[:-1]) | (nxt[1:] != nxt[:-1])])
+        # a group is named by its first place in the array: settled places are their own
+        group = np.arange(len(group), dtype=np.int64)
+        group[at] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+    return places
 
 
 def _compare(codes: np.ndarray, at: np.ndarray, items: np.ndarray, item_at: np.ndarray, depth: int) -> np.ndarray:
@@ -141,7 +170,7 @@ class Items:
             return
         c = np.array([*codes, *[-1] * (MATCH + 3)], dtype=np.int32)
         c[c == 0] = -1  # words that no item has end every match alike
-        order, _ = suffix_array(c[: len(codes)] + 1)
+        order = suffix_array(c)
         lo, hi = search(c, order, self.codes, self.starts)
         hit = np.flatnonzero(hi > lo)
         if not len(hit):
