@@ -161,7 +161,8 @@ def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, total_blocks: int
     cut = tape.select("source", "doc_id", "n_tokens", "start", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + n_tokens - 1) div {BLOCK}"))).alias("block"))
     a, b = F.greatest(F.col("start"), F.col("block") * BLOCK), F.least(F.col("start") + F.col("n_tokens"), (F.col("block") + 1) * BLOCK)
     pieces = cut.select("source", "block", "doc_id", (a - F.col("start")).alias("from_token"), (b - a).alias("n_tokens"), (a - F.col("block") * BLOCK).alias("at_token"))
-    mix = slots.join(pieces, ["source", "block"]).select("shard", F.xxhash64("source", "block", "pass", F.lit(SEED)).alias("slot_key"), "source", "block", "pass", "doc_id", "from_token", "n_tokens", "at_token")
+    # both sides grow with the data, whatever their estimated size: never broadcast one
+    mix = slots.hint("merge").join(pieces.hint("merge"), ["source", "block"]).select("shard", F.xxhash64("source", "block", "pass", F.lit(SEED)).alias("slot_key"), "source", "block", "pass", "doc_id", "from_token", "n_tokens", "at_token")
     return mix, targets, available
 
 
