@@ -308,7 +308,7 @@ def runs_on(last: str, mark: str, first: str, n_last: int, n_first: int, n_joine
     if mark in ("¬", "="):
         return True
     if mark == "-":
-        return not (COMMON.get(first) and n_hung > n_joined)
+        return n_joined > n_hung if first in COMMON else True
     least = min(n_last, n_first)
     if n_joined < 3 or least > 3 * n_joined:
         return False
