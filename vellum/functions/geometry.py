@@ -33,12 +33,13 @@ def intersects(a: Column, b: Column) -> Column:
 def intersection_area(a: Column, b: Column) -> Column:
     w = F.least(a["x_max"], b["x_max"]) - F.greatest(a["x_min"], b["x_min"])
     h = F.least(a["y_max"], b["y_max"]) - F.greatest(a["y_min"], b["y_min"])
-    return F.greatest(w, F.lit(0)).cast("double") * F.greatest(h, F.lit(0))
+    # greatest and least pass NULLs over
+    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(w, F.lit(0)).cast("double") * F.greatest(h, F.lit(0)))
 
 
 def ratio(a: Column, b: Column) -> Column:
-    """a / b; 0 where b isn't positive."""
-    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    """a / b; 0 where b isn't positive, NULL where it is NULL."""
+    return F.when(b > 0, a / b).when(b.isNotNull(), F.lit(0.0))
 
 
 def box_iou(a: Column, b: Column) -> Column:
@@ -68,7 +69,7 @@ def iou_x(a: Column, b: Column) -> Column:
 def box_distance(a: Column, b: Column) -> Column:
     dx = F.greatest(F.lit(0), a["x_min"] - b["x_max"], b["x_min"] - a["x_max"]).cast("double")
     dy = F.greatest(F.lit(0), a["y_min"] - b["y_max"], b["y_min"] - a["y_max"]).cast("double")
-    return F.sqrt(dx * dx + dy * dy)
+    return F.when(a.isNotNull() & b.isNotNull(), F.sqrt(dx * dx + dy * dy))
 
 
 def bbox(pts: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,21 +15,32 @@ SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY
 
 def scan_images(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS) -> DataFrame:
     """path, modificationTime, length, content of a folder's images, not of folders in it; extensions in all lower or all
-    upper case.  Files whose name begins with a dot, and empty files, are passed over; names beginning with an underscore, which
-    Spark hides, are named to it one by one.  Sort by path where an order is wanted."""
+    upper case.  Files whose name begins with a dot, and empty files, are passed over; those beginning with an underscore, which
+    Spark hides, are read by name.  Sort by path where an order is wanted."""
     glob = "*.{" + ",".join(e for x in extensions for e in (x.lower(), x.upper())) + "}"
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     hidden = [os.path.join(folder, n) for n in sorted(os.listdir(folder)) if n.startswith("_") and n.rsplit(".", 1)[-1] in {e for x in extensions for e in (x.lower(), x.upper())}] if os.path.isdir(folder) else []
     out = reader.load(folder)
-    for path in hidden:
-        out = out.unionByName(spark.read.format("binaryFile").load(path))
-    return out
+    return out.unionByName(_read_files(spark, hidden)) if hidden else out
+
+
+def _read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The named files, read where the rows are: for folders that the executors can reach by the same path."""
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                with open(path, "rb") as f:
+                    content = f.read()
+                rows.append((f"file:{path}", pd.Timestamp(os.path.getmtime(path), unit="s"), len(content), content))
+            yield pd.DataFrame(rows, columns=["path", "modificationTime", "length", "content"])
+
+    return spark.createDataFrame([(p,) for p in paths], "path STRING").mapInPandas(run, SCHEMA)
 
 
 def decode_images(images: DataFrame, sizes_only: bool = True) -> DataFrame:
     """path, height, width, pixels (rows of RGB; NULL if ``sizes_only``), error: one bad file is one row with an error."""
-    import pandas as pd
-
     from vellum.functions.raster import decode
 
     def run(batches):
