@@ -33,7 +33,7 @@ def _read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
             for path in pdf["path"]:
                 with open(path, "rb") as f:
                     content = f.read()
-                rows.append((f"file:{path}", pd.Timestamp(os.path.getmtime(path), unit="s"), len(content), content))
+                rows.append((f"file:{path}", pd.Timestamp(int(os.path.getmtime(path)), unit="s"), len(content), content))
             yield pd.DataFrame(rows, columns=["path", "modificationTime", "length", "content"])
 
     return spark.createDataFrame([(p,) for p in paths], "path STRING").mapInPandas(run, SCHEMA)
