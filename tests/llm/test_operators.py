@@ -108,6 +108,18 @@ def test_exact_ranks(spark):
         assert got[g, s, v] == (sum(x < v for x in own), sum(x <= v for x in own), len(own))
 
 
+def test_common_kinds_are_found(spark, write_tables):
+    rng = random.Random(4)
+    names = [a + b for a in "kar mal tor vil sand".split() for b in "by sund berg lax holm".split()]
+    prose = [[f"the {rng.choice(names)} went to the farm. Then he saw that {rng.choice(names)} was in it" for _ in range(8)] for _ in range(10)]
+    listed = [[f"{i}. {rng.choice(names)} {rng.choice(names)}" for i in range(8)] for _ in range(10)]
+    tables = [["   ".join(str(rng.randrange(1000)) for _ in range(4)) for _ in range(8)] for _ in range(10)]
+    rows = [x for p, texts in enumerate(prose + listed + tables) for x in lines(p, texts)]
+    d = write_tables(line_texts=rows, pages=pages_of(rows))
+    assert {tuple(r) for r in quality.p4_found(spark, d).collect()} == {(p, "list") for p in range(10, 20)} | {(p, "table") for p in range(20, 30)}
+    assert {"score", "score_all"} <= set(quality.p4_statistics(spark, d).columns)
+
+
 # ---------------------------------------------------------------- language
 def test_gradients():
     net = bigru.BiGRU(3, hidden=4, seed=3)

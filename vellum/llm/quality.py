@@ -3,8 +3,8 @@
 Each page's statistics are ranked exactly within the pages of its language (as labelled; '' without a label)
 and within all pages: distinct values are counted first, then range-partitioned and sorted, numbered within
 their partition, and shifted by the counts of the partitions before.  The two tail probabilities of the empirical
-distribution are combined across statistics into outlier scores; a page that is an outlier by either score
-gets its verdict from exact rules on the statistics.
+distribution are combined across statistics into outlier scores.  The verdict comes from exact rules on the page's own
+statistics alone; the scores are evidence beside it, since a kind that is common has no outliers.
 
 A value shared by a third of all pages is one row per partition before any shuffle.  NULL and empty lines count
 as no lines; furniture is left out; a page without text has statistics 0 and is 'prose'."""
@@ -23,9 +23,6 @@ from vellum.llm.repetition import REPEATED
 from vellum.sources.tables import checkpoint, table
 
 _DDL = "page_id BIGINT, lines INT, repeated_share DOUBLE, n_lines DOUBLE, " + ", ".join(f"{s} DOUBLE" for s in STATS) + ", kind_by_rule STRING"
-#: Mean of -ln(tail probability) over the statistics from which a page is an outlier (1 is the mean of a statistic
-#: without outliers); low, so that the rules see every page that might not be prose.
-OUTLIER = 1.3
 LEAST_LINES = 5
 
 
@@ -94,8 +91,7 @@ def page_kinds(spark: SparkSession, data_dir: str) -> DataFrame:
     stats = page_statistics(spark, data_dir).join(labelled_language(spark, data_dir), "page_id", "left").withColumn("grp", F.coalesce("label", F.lit("")))
     stats = checkpoint(stats)
     kinds = stats.drop("grp").join(outlier_scores(stats), "page_id")
-    verdict = F.when(F.greatest("score", "score_all") >= OUTLIER, F.col("kind_by_rule")).otherwise("prose")
-    return kinds.withColumn("page_kind", verdict).drop("kind_by_rule")
+    return kinds.withColumnRenamed("kind_by_rule", "page_kind")
 
 
 def p4_statistics(spark: SparkSession, data_dir: str) -> DataFrame:
