@@ -54,6 +54,13 @@ def default_regions(pages: DataFrame, regions: DataFrame, compat: bool = False)
     return pages.join(regions.select("page_id"), "page_id", "left_anti").select("page_id", F.lit("0").alias("region_id"), F.lit("paragraph").alias("name"), F.lit(0.0).alias("conf"), F.lit(0).alias("x0"), F.lit(0).alias("y0"), F.col(x).alias("x1"), F.col(y).alias("y1"))
 
 
+def with_default_regions(lines: DataFrame, regions: DataFrame, pages: DataFrame) -> DataFrame:
+    """page_id, region_id, region_pos, box: the regions, and a whole-page region for each page with lines but without one,
+    so that its lines find it.  pages: page_id, width, height."""
+    whole = default_regions(pages.join(lines.select("page_id"), "page_id", "left_semi"), regions)
+    return regions.select("page_id", "region_id", "region_pos", "box").unionByName(whole.select("page_id", "region_id", F.lit(0).alias("region_pos"), G.box("x0", "y0", "x1", "y1").alias("box")))
+
+
 def region_lines(assigned: DataFrame, regions: DataFrame) -> DataFrame:
     """Regions with their lines: page_id, region_id, region_pos, line_id; regions and lines without the other are out."""
     return regions.select("page_id", "region_id", "region_pos").join(assigned.filter("region_id is not null").select("page_id", "region_id", "line_id"), ["page_id", "region_id"])

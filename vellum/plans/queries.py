@@ -17,6 +17,7 @@ from vellum.sources.tables import current_rows, table
 Query = Callable[[SparkSession, str], DataFrame]
 CREATED = "2024-01-01 00:00:00"
 TILE, OVERLAP = (640, 640), (100, 100)
+_CONF = ("page_conf_mean", "page_conf_median", "page_conf_25", "page_conf_75")
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -244,6 +245,31 @@ def _named_regions(s, d):
     return nest.region_ids(regions.select("page_id", "region_id", "name", "coords", (F.row_number().over(w) - 1).cast("int").alias("region_ord")))
 
 
+def _all_regions(s, d):
+    """Named regions, and a whole-page region for each page without one."""
+    known = table(s, d, "regions").filter("page_id is not null").select("page_id", "region_id", "name", "coords", "bbox")
+    point = lambda x, y: F.struct(F.col(x).cast("int").alias("x"), F.col(y).cast("int").alias("y"))
+    whole = assign.default_regions(table(s, d, "pages"), known).select("page_id", "region_id", "name", F.array(point("x0", "y0"), point("x1", "y0"), point("x1", "y1"), point("x0", "y1")).alias("coords"), G.box("x0", "y0", "x1", "y1").alias("bbox"))
+    w = Window.partitionBy("page_id").orderBy("region_id")
+    both = known.unionByName(whole).withColumn("region_ord", (F.row_number().over(w) - 1).cast("int"))
+    return nest.region_ids(both)
+
+
+def _whole_parts(s, d):
+    """As ``_xml_parts``, with every current line of a page: one whose region is not on the page goes to the region it
+    overlaps most or is nearest to, one without an outline as well to the region of the line before it, else the page's first."""
+    regions = _all_regions(s, d)
+    named = fx.current_lines(s, d).join(regions.select("page_id", "region_id", "region_ord"), ["page_id", "region_id"], "left")
+    boxes = regions.select("page_id", F.col("region_ord").cast("string").alias("region_id"), F.col("region_ord").alias("region_pos"), F.coalesce(G.bbox(G.valid(F.col("coords"))), "bbox").alias("box"))
+    stray = named.filter("region_ord is null").select("page_id", F.col("line_pos").alias("line_id"), G.bbox(F.col("polygon")).alias("box"))
+    found = assign.assign_regions(stray, boxes).select("page_id", F.col("line_id").alias("line_pos"), F.col("region_id").cast("int").alias("found_ord"))
+    before = Window.partitionBy("page_id").orderBy("line_pos").rowsBetween(Window.unboundedPreceding, 0)
+    lines = named.join(found, ["page_id", "line_pos"], "left").withColumn("region_ord", F.coalesce("region_ord", "found_ord")).drop("found_ord")
+    lines = lines.withColumn("region_ord", F.coalesce(F.last("region_ord", ignorenulls=True).over(before), F.lit(0)))
+    w = Window.partitionBy("page_id", "region_ord").orderBy("line_pos")
+    return table(s, d, "pages"), regions, lines.withColumn("line_ord", (F.row_number().over(w) - 1).cast("int"))
+
+
 def _xml_parts(s, d):
     regions = _named_regions(s, d)
     w = Window.partitionBy("page_id", "region_ord").orderBy("line_pos")
@@ -251,29 +277,36 @@ def _xml_parts(s, d):
     return table(s, d, "pages"), regions, lines
 
 
-def _page_xml(s, d):
-    p, r, ls = _xml_parts(s, d)
-    return xml.page_xml(p, r, ls, F.lit(CREATED).cast("timestamp"))
+def _page_xml(parts) -> Query:
+    return lambda s, d: xml.page_xml(*parts(s, d), F.lit(CREATED).cast("timestamp"))
 
 
 def _alto_xml(s, d):
     p, r, ls = _xml_parts(s, d)
     st = current_rows(table(s, d, "page_stats"), ["page_id"], ["computed_at"])
-    conf = ("page_conf_mean", "page_conf_median", "page_conf_25", "page_conf_75")
     # to quarters, whose two decimals are the same in every engine
-    st = st.select("page_id", *[(F.rint(F.col(c) * 4) / 4).alias(c) for c in conf], "n_long_rowtext", "language")
+    st = st.select("page_id", *[(F.rint(F.col(c) * 4) / 4).alias(c) for c in _CONF], "n_long_rowtext", "language")
     return xml.alto_xml(p.join(st, "page_id"), r, ls)
 
 
-def _xml_ids(s, d):
-    _, r, ls = _xml_parts(s, d)
+def _alto_xml_whole(s, d):
+    p, r, ls = _whole_parts(s, d)
+    st = current_rows(table(s, d, "page_stats"), ["page_id"], ["computed_at"])
+    return xml.alto_xml(p.join(st.select("page_id", *_CONF, "n_long_rowtext", "language"), "page_id", "left"), r, ls)
+
+
+def _xml_ids(parts) -> Query:
+    return lambda s, d: _line_ids(*parts(s, d)[1:])
+
+
+def _line_ids(r, ls):
     both = ls.join(r.select("page_id", "region_ord", "xml_id"), ["page_id", "region_ord"])
     return both.select("page_id", "line_pos", F.format_string("r%dl%d", "region_ord", "line_ord").alias("page_line_id"), F.concat("xml_id", F.lit("_line_"), F.col("line_ord").cast("string")).alias("alto_line_id"), F.format_string("readingOrder {index:%d;}", "line_ord").alias("custom"))
 
 
 def _roundtrip(s, d):
-    """Texts read back from the PAGE documents."""
-    labelled = nested.labelled_records(_page_xml(s, d).withColumn("at", F.lit(0)), ["page_id"], "at")
+    """Texts read back from the PAGE documents of all lines."""
+    labelled = nested.labelled_records(_page_xml(_whole_parts)(s, d).withColumn("at", F.lit(0)), ["page_id"], "at")
     lines = nested.node_table(labelled, ["page_id"], "line", "region").select("page_id", "pre", F.col("id").alias("line_id"), F.col("parent_id").alias("region_id"))
     texts = nested.node_table(labelled, ["page_id"], "text", "line").select("page_id", F.col("parent_pre").alias("pre"), F.coalesce("value", F.lit("")).alias("text"))
     return lines.join(texts, ["page_id", "pre"]).select("page_id", "line_id", "region_id", "text")
@@ -348,8 +381,8 @@ def queries() -> dict[str, Query]:
         "strip_text": lambda s, d: line(s, d).select("page_id", "line_pos", cur.strip(F.col("text")).alias("text")),
         "nonempty_pages": lambda s, d: table(s, d, "pages").select("page_id").join(line(s, d).filter("text is not null").select("page_id"), "page_id", "left_semi"),
         "flatten_lines": _flatten_lines, "renest_counts": _renest, "region_result": _region_result, "zip_lists": _zip_lists,
-        "region_ids": lambda s, d: _named_regions(s, d).select("page_id", "region_id", "name", "region_ord", "xml_id"), "xml_ids": _xml_ids,
-        "page_xml": _page_xml, "alto_xml": _alto_xml, "xml_roundtrip": _roundtrip, "xml_targets": lambda s, d: nest.xml_targets(table(s, d, "pages"), "/out", ["page", "alto"]), "xml_timestamp": _stamps,
+        "region_ids": lambda s, d: _named_regions(s, d).select("page_id", "region_id", "name", "region_ord", "xml_id"), "xml_ids": _xml_ids(_xml_parts),
+        "page_xml": _page_xml(_xml_parts), "alto_xml": _alto_xml, "page_xml_whole": _page_xml(_whole_parts), "alto_xml_whole": _alto_xml_whole, "xml_ids_whole": _xml_ids(_whole_parts), "xml_roundtrip": _roundtrip, "xml_targets": lambda s, d: nest.xml_targets(table(s, d, "pages"), "/out", ["page", "alto"]), "xml_timestamp": _stamps,
         "round_robin": lambda s, d: nest.round_robin(table(s, d, "pages").select("page_id", "path"), 4), "format_2dp": _format,
         "p3_found": nested.p3_found, "p3_pages": nested.p3_pages, "p3_regions": nested.p3_regions, "p3_lines": nested.p3_lines, "p3_texts": nested.p3_texts,
     }
