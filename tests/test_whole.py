@@ -35,3 +35,14 @@ def test_lines_without_a_region_stay(spark, d):
         assert {(p, t) for p, x in docs.items() for t in re.findall(r"text\d+", x)} == {(p, t) for p, _, t in got}
         assert "0,0 1000,0 1000,2000 0,2000" in docs[2]
     assert QUERIES["xml_ids_whole"](spark, d).count() == 7
+
+
+def test_pages_without_a_region_detection_are_ordered(spark, write_tables):
+    item = lambda page, number, x, y: {"l_orderkey": page, "l_linenumber": number, "l_partkey": x, "l_suppkey": y, "l_quantity": 1.0, "l_discount": 0.0, "l_tax": 0.0}
+    d = write_tables(lineitem=[item(1, 1, 0, 0), item(1, 2, 1, 1), item(2, 2, 1, 9), item(2, 3, 1, 1), item(3, 1, 0, 0)])
+    got = {(r.page_id, r.region_id, r.line_id, r.region_ord, r.line_ord) for r in QUERIES["order_regions"](spark, d).collect()}
+    assert got == {(1, "0", 1, 0, 0), (2, "0", 1, 0, 0), (2, "0", 0, 0, 1)}
+    flat = {(r.page_id, r.region_ord, r.line_ord, r.line_id, r.line_pos) for r in QUERIES["flatten_lines_whole"](spark, d).collect()}
+    assert flat == {(1, 0, 0, 1, 0), (2, 0, 0, 1, 0), (2, 0, 1, 0, 1)}
+    assert QUERIES["renest_counts_whole"](spark, d).count() == 3
+    assert {(r.page_id, r.n_lines, r.line_ids) for r in QUERIES["region_result_whole"](spark, d).collect()} == {(1, 1, "1"), (2, 2, "1 0")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import pandas as pd
@@ -17,6 +18,7 @@ from vellum.sources.tables import current_rows, table
 Query = Callable[[SparkSession, str], DataFrame]
 CREATED = "2024-01-01 00:00:00"
 TILE, OVERLAP = (640, 640), (100, 100)
+PAGE = (2400, 3200)  # of the fixture's pages, which have no row in pages
 _CONF = ("page_conf_mean", "page_conf_median", "page_conf_25", "page_conf_75")
 
 
@@ -170,6 +172,16 @@ def _assigned(s, d):
     return assign.assign_regions(fx.line_boxes(s, d), fx.region_boxes(s, d))
 
 
+def _with_default(s, d):
+    """Region boxes, and a whole-page region for each page with lines but no region detection."""
+    lines = fx.line_boxes(s, d)
+    return assign.with_default_regions(lines, fx.region_boxes(s, d), lines.select("page_id", F.lit(PAGE[0]).alias("width"), F.lit(PAGE[1]).alias("height")).distinct())
+
+
+def _assigned_whole(s, d):
+    return assign.assign_regions(fx.line_boxes(s, d), _with_default(s, d))
+
+
 def _best(s, d):
     return assign.best_region(fx.line_boxes(s, d), fx.region_boxes(s, d)).withColumn("iou", F.round("iou", 9))
 
@@ -198,8 +210,8 @@ def _graph(direction: str) -> Query:
 
 def _order_regions(s, d):
     """Regions of a page in order, and the lines of each region in order, numbered through."""
-    lines, regions = fx.line_boxes(s, d), fx.region_boxes(s, d)
-    inside = _assigned(s, d).filter("region_id is not null").join(lines.select("page_id", "line_id", "box"), ["page_id", "line_id"])
+    lines, regions = fx.line_boxes(s, d), _with_default(s, d)
+    inside = _assigned_whole(s, d).filter("region_id is not null").join(lines.select("page_id", "line_id", "box"), ["page_id", "line_id"])
     by_line = order.order_lines(inside.select("page_id", "region_id", F.col("line_id").alias("id"), "box"), ["page_id", "region_id"])
     used = regions.join(inside.select("page_id", "region_id"), ["page_id", "region_id"], "left_semi")
     by_region = order.order_lines(used.select("page_id", F.col("region_pos").alias("id"), "box"), ["page_id"]).select("page_id", F.col("id").cast("string").alias("region_id"), F.col("ord").alias("region_ord"))
@@ -215,25 +227,25 @@ def _page_stats(s, d):
     return p.select("page_id", *[F.round(c, 9).alias(c) for c in ("page_conf_mean", "page_conf_median", "page_conf_25", "page_conf_75")], "n_long_rowtext", "n_lines")
 
 
-def _placed(s, d):
+def _placed(s, d, assigned=_assigned):
     """Lines in their regions, by place: page_id, region_ord, line_ord, line_id."""
-    inside = _assigned(s, d).filter("region_id is not null").join(fx.line_boxes(s, d).select("page_id", "line_id", "box"), ["page_id", "line_id"])
+    inside = assigned(s, d).filter("region_id is not null").join(fx.line_boxes(s, d).select("page_id", "line_id", "box"), ["page_id", "line_id"])
     w = Window.partitionBy("page_id", "region_id").orderBy("box.y_min", "box.x_min", "line_id")
     return inside.select("page_id", F.col("region_id").cast("int").alias("region_ord"), (F.row_number().over(w) - 1).cast("int").alias("line_ord"), "line_id")
 
 
-def _flatten_lines(s, d):
-    return nest.flatten(nest.nest(_placed(s, d), ["line_id"])).select("page_id", "region_ord", "line_ord", "line_id", "line_pos")
+def _flatten_lines(s, d, assigned=_assigned):
+    return nest.flatten(nest.nest(_placed(s, d, assigned), ["line_id"])).select("page_id", "region_ord", "line_ord", "line_id", "line_pos")
 
 
-def _renest(s, d):
-    nested_ = nest.nest(_placed(s, d), ["line_id"])
+def _renest(s, d, assigned=_assigned):
+    nested_ = nest.nest(_placed(s, d, assigned), ["line_id"])
     return nest.renest_by_counts(nested_.select("page_id", "region_ord", "n_lines"), nest.flatten(nested_))
 
 
-def _region_result(s, d):
+def _region_result(s, d, assigned=_assigned):
     """Page statistics on every region with its lines' count and joined ids."""
-    nested_ = nest.nest(_placed(s, d), ["line_id"])
+    nested_ = nest.nest(_placed(s, d, assigned), ["line_id"])
     page = fx.lines(s, d).groupBy("page_id").agg(F.round(F.avg("text_conf"), 6).alias("page_conf_mean"))
     ids = F.array_join(F.transform("lines", lambda x: x["line_id"].cast("string")), " ")
     return nested_.select("page_id", "region_ord", "n_lines", ids.alias("line_ids")).join(page, "page_id").select("page_id", "region_ord", "n_lines", "line_ids", "page_conf_mean")
@@ -380,7 +392,8 @@ def queries() -> dict[str, Query]:
         "page_text": lambda s, d: cur.page_text(line(s, d)), "language_id": lambda s, d: cur.language_summary(line(s, d)),
         "strip_text": lambda s, d: line(s, d).select("page_id", "line_pos", cur.strip(F.col("text")).alias("text")),
         "nonempty_pages": lambda s, d: table(s, d, "pages").select("page_id").join(line(s, d).filter("text is not null").select("page_id"), "page_id", "left_semi"),
-        "flatten_lines": _flatten_lines, "renest_counts": _renest, "region_result": _region_result, "zip_lists": _zip_lists,
+        "flatten_lines": _flatten_lines, "renest_counts": _renest, "region_result": _region_result,
+        **{f"{name}_whole": functools.partial(fn, assigned=_assigned_whole) for name, fn in (("flatten_lines", _flatten_lines), ("renest_counts", _renest), ("region_result", _region_result))}, "zip_lists": _zip_lists,
         "region_ids": lambda s, d: _named_regions(s, d).select("page_id", "region_id", "name", "region_ord", "xml_id"), "xml_ids": _xml_ids(_xml_parts),
         "page_xml": _page_xml(_xml_parts), "alto_xml": _alto_xml, "page_xml_whole": _page_xml(_whole_parts), "alto_xml_whole": _alto_xml_whole, "xml_ids_whole": _xml_ids(_whole_parts), "xml_roundtrip": _roundtrip, "xml_targets": lambda s, d: nest.xml_targets(table(s, d, "pages"), "/out", ["page", "alto"]), "xml_timestamp": _stamps,
         "round_robin": lambda s, d: nest.round_robin(table(s, d, "pages").select("page_id", "path"), 4), "format_2dp": _format,
