@@ -37,6 +37,12 @@ def test_lines_without_a_region_stay(spark, d):
     assert QUERIES["xml_ids_whole"](spark, d).count() == 7
 
 
+def test_alto_has_the_real_confidences(spark, d):
+    docs = {r.page_id: r.xml for r in QUERIES["alto_xml_whole"](spark, d).collect()}
+    # two decimals of the binary value, as the reference prints them
+    assert ' PC="0.83" PC50="0.12" PC25="0.98" PC75="1.00"' in docs[1] and ' PC="0.38"' in docs[2]
+
+
 def test_pages_without_a_region_detection_are_ordered(spark, write_tables):
     item = lambda page, number, x, y: {"l_orderkey": page, "l_linenumber": number, "l_partkey": x, "l_suppkey": y, "l_quantity": 1.0, "l_discount": 0.0, "l_tax": 0.0}
     d = write_tables(lineitem=[item(1, 1, 0, 0), item(1, 2, 1, 1), item(2, 2, 1, 9), item(2, 3, 1, 1), item(3, 1, 0, 0)])

@@ -54,10 +54,16 @@ def language_summary(lines: DataFrame) -> DataFrame:
     return per.select("page_id", F.when(best["n"] > 0, best["k"]).otherwise("unknown").alias("language"))
 
 
-def format_2dp(values: DataFrame, column: str) -> DataFrame:
-    """Adds ``column``_text: two decimals of the exact binary value, half to even, as C's printf."""
+def printed(c: Column) -> Column:
+    """Two decimals of the exact binary value, half to even, as C's printf."""
+
     @F.pandas_udf("string")
     def fmt(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if pd.isna(x) else f"{x:.2f}")
 
-    return values.withColumn(f"{column}_text", fmt(column))
+    return fmt(c)
+
+
+def format_2dp(values: DataFrame, column: str) -> DataFrame:
+    """Adds ``column``_text: its two decimals as ``printed``."""
+    return values.withColumn(f"{column}_text", printed(F.col(column)))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions import geometry as G
-from vellum.operators.stats import strip
+from vellum.operators.stats import printed, strip
 
 # Name spaces of the two formats.
 PAGE_NS = "http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15"
@@ -62,7 +62,7 @@ def page_xml(pages: DataFrame, regions: DataFrame, lines: DataFrame, created: Co
 
 
 def two_decimals(c: Column) -> Column:
-    return F.format_string("%.2f", F.coalesce(c, F.lit(0.0)))
+    return printed(F.coalesce(c, F.lit(0.0)))
 
 
 def alto_xml(pages: DataFrame, regions: DataFrame, lines: DataFrame, models: tuple[str, str, str] = ("regions", "lines", "text"), agency: str = "vellum") -> DataFrame:

@@ -303,8 +303,11 @@ def _alto_xml(s, d):
 
 def _alto_xml_whole(s, d):
     p, r, ls = _whole_parts(s, d)
-    st = current_rows(table(s, d, "page_stats"), ["page_id"], ["computed_at"])
-    return xml.alto_xml(p.join(st.select("page_id", *_CONF, "n_long_rowtext", "language"), "page_id", "left"), r, ls)
+    st = current_rows(table(s, d, "page_stats"), ["page_id"], ["computed_at"]).select("page_id", *_CONF, "n_long_rowtext", "language")
+    # pages without stored statistics have those of their lines
+    own = stats.page_stats(ls).select("page_id", *[F.col(c).alias(f"own_{c}") for c in _CONF])
+    both = p.join(st, "page_id", "left").join(own, "page_id", "left")
+    return xml.alto_xml(both.withColumns({c: F.coalesce(c, f"own_{c}") for c in _CONF}), r, ls)
 
 
 def _xml_ids(parts) -> Query:
