@@ -247,6 +247,22 @@ def test_mix(spark, write_tables):
     assert mix.groupBy("doc_id", "from_token").count().agg(F.max("count")).first()[0] <= 3
 
 
+def test_mix_carries_its_tokens(spark, write_tables):
+    docs = [{"doc_id": i, "text": f"word{i} is here " * (90 + i), "source": "a"} for i in range(30)]
+    docs += [docs[3], {**docs[4], "text": "other text " * 200}, {"doc_id": 99, "text": "", "source": "a"}, {"doc_id": 98, "source": "a"}]
+    d = write_tables(documents=docs, mix_targets=[{"source": "a", "target_share": 1.0, "max_repeats": 2}])
+    encode = mixing._encoding(mixing.TOKENIZER).encode_ordinary
+    ids = {}
+    for x in docs:
+        ids.setdefault(x["doc_id"], []).append(encode(x.get("text") or ""))
+    mix = mixing.p8_mix(spark, d).collect()
+    assert mix and all(len(r.tokens) == r.n_tokens and any(t[r.from_token : r.from_token + r.n_tokens] == r.tokens for t in ids[r.doc_id]) for r in mix)
+    place = lambda r: (r.shard, r.slot_key, r.source, r.block, r["pass"], r.at_token, r.doc_id, r.from_token, r.n_tokens)
+    assert sorted(map(place, mix)) == sorted(map(place, mixing.p8_pointers(spark, d).collect()))
+    blocks = mixing.p8_blocks(spark, d).collect()
+    assert {len(r.tokens) for r in blocks} == {mixing.BLOCK} and len(blocks) == 2 * (sum(len(t) for ts in ids.values() for t in ts) // mixing.BLOCK)
+
+
 # ---------------------------------------------------------------- spam
 def test_spam(spark, write_tables):
     words = "cheap maps copy order records scanning discount".split()

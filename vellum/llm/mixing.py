@@ -5,7 +5,8 @@ as many blocks as the scarcest source allows every present source to keep its sh
 Each output shard draws its source counts from the multinomial distribution, conditioned on the sources'
 totals so that the shares come out exact; a source's slots are numbered through all shards, slot j is pass
 j div n over the source's n blocks, and within a pass a pseudorandom permutation of the block index (a Feistel
-network) says which block it takes.  Blocks join their slots by index.
+network) says which block it takes.  Blocks join their slots by index, with their token ids; a text is encoded once for
+its length, which its place depends on, and again when it is cut, so that no tokens are stored in between.
 
 A block is used once a pass at most, so no document is used more often than its source's ``max_repeats``.  A source
 without documents, or a document without a target, adds nothing; its share is reported as 0.  NULL and empty
@@ -43,15 +44,15 @@ def _encoding(path: str):
 
 
 def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """doc_id, source, n_tokens of documents (doc_id, source, text)."""
+    """doc_id, source, text_key, n_tokens of documents (doc_id, source, text); text_key: hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
         for b in batches:
             n = [len(encode(t)) if t else 0 for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n, type=pa.int64())], names=["doc_id", "source", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), b.column("text_key"), pa.array(n, type=pa.int64())], names=["doc_id", "source", "text_key", "n_tokens"])
 
-    return documents.select("doc_id", "source", "text").mapInArrow(run, "doc_id BIGINT, source STRING, n_tokens BIGINT")
+    return documents.select("doc_id", "source", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "doc_id BIGINT, source STRING, text_key BIGINT, n_tokens BIGINT")
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,17 +67,17 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lay_out(sized: DataFrame) -> DataFrame:
-    """source, doc_id, n_tokens, start: each document's place on its source's tape, in hashed order.  Range partitions
+    """source, doc_id, text_key, n_tokens, start: each document's place on its source's tape, in hashed order.  Range partitions
     and their offsets: no source is held by one task."""
-    order = ["source", "h", "doc_id"]
+    order = ["source", "h", "doc_id", "text_key"]
     keyed = sized.filter("n_tokens > 0").withColumn("h", F.xxhash64("doc_id", F.lit(SEED)))
-    parts = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "source", "doc_id", "n_tokens")
-    tape = checkpoint(parts.mapInArrow(_running, "part INT, source STRING, doc_id BIGINT, n_tokens BIGINT, run BIGINT"))
+    parts = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "source", "doc_id", "text_key", "n_tokens")
+    tape = checkpoint(parts.mapInArrow(_running, "part INT, source STRING, doc_id BIGINT, text_key BIGINT, n_tokens BIGINT, run BIGINT"))
     # one row per partition and source; a source takes consecutive partitions
     ends = tape.groupBy("source", "part").agg(F.max("run").alias("end"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ends.select("source", "part", F.coalesce(F.sum("end").over(before), F.lit(0)).alias("offset"))
-    return tape.join(offsets, ["source", "part"]).select("source", "doc_id", "n_tokens", (F.col("offset") + F.col("run") - F.col("n_tokens")).alias("start"))
+    return tape.join(offsets, ["source", "part"]).select("source", "doc_id", "text_key", "n_tokens", (F.col("offset") + F.col("run") - F.col("n_tokens")).alias("start"))
 
 
 def plan(available: dict[str, int], targets: list[tuple[str, float, int]], total_blocks: int | None = None) -> dict[str, tuple[int, int]]:
@@ -143,7 +144,50 @@ def _choose(seed: int):
     return run
 
 
-def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, total_blocks: int | None):
+def _cut(tokenizer: str):
+    """Pieces of documents (source, doc_id, start, text), cut where their source's blocks end, with their token ids."""
+    names = ["source", "block", "doc_id", "from_token", "n_tokens", "at_token", "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _encoding(tokenizer).encode_ordinary
+        for whole in batches:
+            for k in range(0, len(whole), 1000):
+                rows, ids = [], []
+                for source, doc_id, start, text in zip(*(c.to_pylist() for c in whole.slice(k, 1000).columns)):
+                    tokens = encode(text)
+                    ids.append(np.array(tokens, dtype=np.int32))
+                    for block in range(start // BLOCK, (start + len(tokens) - 1) // BLOCK + 1):
+                        a, b = max(start, block * BLOCK), min(start + len(tokens), (block + 1) * BLOCK)
+                        rows.append((source, block, doc_id, a - start, b - a, a - block * BLOCK))
+                columns = list(zip(*rows))
+                types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                # a document's pieces follow one another, so all its tokens are theirs
+                offsets = np.concatenate([[0], np.cumsum(columns[4])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, type=t) for c, t in zip(columns, types)), lists], names=names)
+
+    return run
+
+
+def _pieces(tape: DataFrame) -> DataFrame:
+    """Pointers of the pieces: source, block, doc_id, from_token, n_tokens, at_token."""
+    cut = tape.select("source", "doc_id", "n_tokens", "start", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + n_tokens - 1) div {BLOCK}"))).alias("block"))
+    a, b = F.greatest(F.col("start"), F.col("block") * BLOCK), F.least(F.col("start") + F.col("n_tokens"), (F.col("block") + 1) * BLOCK)
+    return cut.select("source", "block", "doc_id", (a - F.col("start")).alias("from_token"), (b - a).alias("n_tokens"), (a - F.col("block") * BLOCK).alias("at_token"))
+
+
+def _token_pieces(docs: DataFrame, tape: DataFrame, tokenizer: str) -> DataFrame:
+    """``_pieces`` with their token ids.  A document that stands there more than once takes each of its places once."""
+    key = ["source", "doc_id", "text_key"]
+    again = Window.partitionBy(*key)
+    texts = docs.filter("text <> ''").withColumn("text_key", F.xxhash64("text")).withColumn("copy", F.row_number().over(again.orderBy(F.lit(0))))
+    places = tape.select(*key, "start").withColumn("copy", F.row_number().over(again.orderBy("start")))
+    # both grow with the data, as below
+    both = texts.hint("merge").join(places.hint("merge"), [*key, "copy"]).select("source", "doc_id", "start", "text")
+    return both.mapInArrow(_cut(tokenizer), "source STRING, block BIGINT, doc_id BIGINT, from_token BIGINT, n_tokens BIGINT, at_token BIGINT, tokens ARRAY<INT>")
+
+
+def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, total_blocks: int | None, payload: bool):
     clean = F.lower(F.trim(F.col("source")))
     targets = table(spark, data_dir, "mix_targets").select(clean.alias("source"), "target_share", "max_repeats").filter("source is not null")
     docs = table(spark, data_dir, "documents").select("doc_id", clean.alias("source"), "text").filter("doc_id is not null")
@@ -158,24 +202,33 @@ def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, total_blocks: int
     first = np.cumsum(counts, axis=0) - counts
     rows = [(k, s, i, int(first[k, i]), int(counts[k, i]), drawn[s][0]) for k in range(len(counts)) for i, s in enumerate(names) if counts[k, i]]
     slots = spark.createDataFrame(rows, "shard INT, source STRING, number INT, first BIGINT, count BIGINT, n BIGINT").repartition("shard").mapInArrow(_choose(SEED), "shard INT, source STRING, pass INT, block BIGINT")
-    cut = tape.select("source", "doc_id", "n_tokens", "start", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + n_tokens - 1) div {BLOCK}"))).alias("block"))
-    a, b = F.greatest(F.col("start"), F.col("block") * BLOCK), F.least(F.col("start") + F.col("n_tokens"), (F.col("block") + 1) * BLOCK)
-    pieces = cut.select("source", "block", "doc_id", (a - F.col("start")).alias("from_token"), (b - a).alias("n_tokens"), (a - F.col("block") * BLOCK).alias("at_token"))
+    pieces = _token_pieces(docs, tape, tokenizer) if payload else _pieces(tape)
     # both sides grow with the data, whatever their estimated size: never broadcast one
-    mix = slots.hint("merge").join(pieces.hint("merge"), ["source", "block"]).select("shard", F.xxhash64("source", "block", "pass", F.lit(SEED)).alias("slot_key"), "source", "block", "pass", "doc_id", "from_token", "n_tokens", "at_token")
+    mix = slots.hint("merge").join(pieces.hint("merge"), ["source", "block"]).select("shard", F.xxhash64("source", "block", "pass", F.lit(SEED)).alias("slot_key"), "source", "block", "pass", "doc_id", "from_token", "n_tokens", "at_token", *["tokens"] * payload)
     return mix, targets, available
 
 
 def p8_mix(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
     """The mix: for each block of each shard (in the order of slot_key) the pieces of documents it is made of -
-    doc_id, from_token, n_tokens, and at_token, where the piece stands in the block."""
-    return _mixed(spark, data_dir, tokenizer, total_blocks)[0]
+    doc_id, from_token, n_tokens, at_token, where the piece stands in the block, and tokens, its token ids."""
+    return _mixed(spark, data_dir, tokenizer, total_blocks, True)[0]
+
+
+def p8_blocks(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
+    """shard, slot_key, source, block, pass, tokens: the mix as blocks of BLOCK token ids."""
+    pieces = F.array_sort(F.collect_list(F.struct("at_token", "tokens")))
+    return p8_mix(spark, data_dir, tokenizer, total_blocks).groupBy("shard", "slot_key", "source", "block", "pass").agg(F.flatten(F.transform(pieces, lambda p: p["tokens"])).alias("tokens"))
+
+
+def p8_pointers(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
+    """The mix without its token ids: where each piece stands, and in which document."""
+    return _mixed(spark, data_dir, tokenizer, total_blocks, False)[0]
 
 
 def p8_shares(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
     """source, target_share, max_repeats, tokens_available, tokens, share, most_used: what each source really gives,
     and how often its most used document occurs."""
-    mix, targets, available = _mixed(spark, data_dir, tokenizer, total_blocks)
+    mix, targets, available = _mixed(spark, data_dir, tokenizer, total_blocks, False)
     # a document's pieces lie in several blocks; each place of it is used once a pass
     used = mix.groupBy("source", "doc_id", "from_token").agg(F.count("*").alias("times"), F.sum("n_tokens").alias("n")).groupBy("source").agg(F.max("times").alias("most_used"), F.sum("n").alias("tokens"))
     have = spark.createDataFrame([*available.items()], "source STRING, tokens_available BIGINT")

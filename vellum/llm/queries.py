@@ -28,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_matches": leakage.p7_matches,
         "p7_clean": leakage.p7_clean,
         "p8_mix": mixing.p8_mix,
+        "p8_blocks": mixing.p8_blocks,
+        "p8_pointers": mixing.p8_pointers,
         "p8_shares": mixing.p8_shares,
         "p9_found": spam.p9_found,
         "p9_dense": spam.dense_documents,
