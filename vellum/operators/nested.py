@@ -3,7 +3,9 @@
 Every record's tree is walked depth first once; each element gets an interval label - its pre-order and its
 post-order number - and goes into the node table of its type (pages, regions or blocks, lines, texts).  A
 node encloses another if its pre-order number is smaller and its post-order number larger; a row's parent
-is the nearest enclosing node of the parent type, found by interval containment alone.
+is the nearest enclosing node of the parent type.  One pass over the nodes in pre-order finds it: a stack holds
+the intervals that are still open, and those that end before a node are closed first (``enclosing``), so a record's
+parents cost its nodes times its depth.
 
 Of each key the latest well-formed record counts; NULL, empty or cut-off records are none, and a key without a
 well-formed record gives no row.  Ids that are missing are ''; ids need to be unique under their parent only, as the
@@ -28,8 +30,12 @@ LINES = {"TextLine"}
 TEXTS = {"String", "Unicode"}
 _KIND = {**dict.fromkeys(PAGES, "page"), **dict.fromkeys(REGIONS, "region"), **dict.fromkeys(LINES, "line"), **dict.fromkeys(TEXTS, "text")}
 
-_NODE = pa.struct([("kind", pa.string()), ("tag", pa.string()), ("id", pa.string()), ("pre", pa.int32()), ("post", pa.int32()), ("points", pa.string()), ("value", pa.string()), ("conf", pa.string())])
-NODE_DDL = "ARRAY<STRUCT<kind STRING, tag STRING, id STRING, pre INT, post INT, points STRING, value STRING, conf STRING>>"
+_NODE = pa.struct([("kind", pa.string()), ("tag", pa.string()), ("id", pa.string()), ("pre", pa.int32()), ("post", pa.int32()), ("points", pa.string()), ("value", pa.string()), ("conf", pa.string()), ("up", pa.struct([(k, pa.struct([("pre", pa.int32()), ("id", pa.string())])) for k in ("page", "region", "line")]))])
+_UP = "STRUCT<pre: INT, id: STRING>"
+NODE_DDL = (
+    "ARRAY<STRUCT<kind: STRING, tag: STRING, id: STRING, pre: INT, post: INT, points: STRING, value: STRING, conf: STRING, "
+    f"up: STRUCT<page: {_UP}, region: {_UP}, line: {_UP}>>>"
+)
 
 
 def label_nodes(xml: str | None) -> list[dict] | None:
@@ -71,9 +77,24 @@ def label_nodes(xml: str | None) -> list[dict] | None:
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
     try:
         # a declared encoding says nothing of a string that is already decoded
-        parser.Parse(xml.encode("utf-8", "surrogatepass") if "encoding=" not in xml[:80] else _without_declaration(xml), True)
+        parser.Parse(xml.encode("utf-8", "surrogatepass") if "encoding=" not in xml[: xml.find("?>") + 1] else _without_declaration(xml), True)
     except (expat.ExpatError, ElementTree.ParseError, ValueError):
         return None
+    return enclosing(nodes)
+
+
+def enclosing(nodes: list[dict]) -> list[dict]:
+    """The nodes, in pre-order, each with ``up``: for each type, the nearest node whose interval contains its own."""
+    open_: list[dict] = []
+    for node in nodes:
+        while open_ and open_[-1]["post"] < node["post"]:
+            open_.pop()
+        around = open_[-1] if open_ else None
+        up = dict(around["up"]) if around else dict.fromkeys(("page", "region", "line"))
+        if around and around["kind"] in up:
+            up[around["kind"]] = {"pre": around["pre"], "id": around["id"]}
+        node["up"] = up
+        open_.append(node)
     return nodes
 
 
@@ -102,15 +123,11 @@ def labelled_records(records: DataFrame, keys: list[str], latest_by: str, xml: s
     return best
 
 
-def _parent(kind: str) -> str:
-    # nodes are in pre-order, so the last that encloses is the nearest
-    return f"element_at(array(null) || filter(nodes, r -> r.kind = '{kind}' and r.pre < n.pre and r.post > n.post), -1)"
-
-
 def node_table(labelled: DataFrame, keys: list[str], kind: str, parent: str) -> DataFrame:
     """keys, pre, post, id, tag, points, value, conf, parent_pre, parent_id of one node type; parent NULL if none."""
-    rows = labelled.selectExpr(*keys, f"explode(transform(filter(nodes, n -> n.kind = '{kind}'), n -> struct(n.*, {_parent(parent)} as parent))) as n".replace("struct(n.*,", "struct(n.pre as pre, n.post as post, n.id as id, n.tag as tag, n.points as points, n.value as value, n.conf as conf,"))
-    return rows.selectExpr(*keys, "n.pre", "n.post", "n.id", "n.tag", "n.points", "n.value", "n.conf", "n.parent.pre as parent_pre", "n.parent.id as parent_id")
+    rows = labelled.selectExpr(*keys, f"explode(filter(nodes, n -> n.kind = '{kind}')) as n")
+    own = ("pre", "post", "id", "tag", "points", "value", "conf")
+    return rows.selectExpr(*keys, *(f"n.{c}" for c in own), f"n.up.{parent}.pre as parent_pre", f"n.up.{parent}.id as parent_id")
 
 
 KEYS = ["page_id", "xml_format"]
@@ -138,5 +155,5 @@ def p3_texts(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """page_id, xml_format, elem_kind, elem_id, parent_id of every region or block and every line."""
-    rows = _records(spark, data_dir).selectExpr(*KEYS, f"explode(transform(filter(nodes, n -> n.kind in ('region', 'line')), n -> struct(n.kind as kind, n.id as id, coalesce({_parent('region')}.id, '') as parent_id))) as n")
-    return rows.selectExpr(*KEYS, "n.kind as elem_kind", "n.id as elem_id", "n.parent_id")
+    rows = _records(spark, data_dir).selectExpr(*KEYS, "explode(filter(nodes, n -> n.kind in ('region', 'line'))) as n")
+    return rows.selectExpr(*KEYS, "n.kind as elem_kind", "n.id as elem_id", "coalesce(n.up.region.id, '') as parent_id")

@@ -27,15 +27,21 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def buckets_for(df: DataFrame, bytes_each: int = 32 << 20, least: int = 8, most: int = 1 << 20) -> int:
+def buckets_for(df: DataFrame, bytes_each: int = 32 << 20, least: int = 8) -> int:
     """How many groups to hash rows into so that one group holds about ``bytes_each`` of the plan's input."""
-    return max(least, min(most, -(-size_in_bytes(df) // bytes_each)))
+    return max(least, -(-size_in_bytes(df) // bytes_each))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
+    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a folder of its own; a cluster has no such folder, as its machines don't
+    share one, so that is an error.  ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes old ones."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "vellum-checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "vellum-checkpoints"))
     return df.checkpoint(eager=True)
