@@ -32,7 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_pointers": mixing.p8_pointers,
         "p8_shares": mixing.p8_shares,
         "p9_found": spam.p9_found,
-        "p9_dense": spam.dense_documents,
+        "p9_scores": spam.p9_scores,
     }
 
 

@@ -1,16 +1,22 @@
 """Problem 9: keyword-stuffed and link-list pages.
 
-Two kinds of evidence are joined.  Density, within a document: the share of its characters in lines of strung or
-repeated keywords, links with their captions, or tags.  Replication, across the corpus: the document's phrase
-shingles - five content words, order and repeats aside, with names, figures, links and tags masked - that occur on
-HOSTS or more hosts (a host is a source and volume) or TIMES or more on the page.  A document is spam if more than half of it is dense and it is
-stitched of replicated phrases; a list of names or references is dense in neither keywords nor replicated phrases.
+Two kinds of evidence are joined.  Replication, across the corpus: every document is exploded into phrase shingles - five
+content words, order and repeats aside, with names, figures, links and tags masked - and distinct hosts are counted for
+every shingle; ``replicated`` is the share of a document's shingles that stand on HOSTS hosts or more.  A host is a source
+and volume; a page of unknown volume is a host of its own, its copies with it.  Density, within a document: ``dense`` is the
+share of its characters in lines of strung or repeated keywords, links with their captions, or tags.
 
-Shingles of all documents are counted.  They travel as packed arrays, 48 bits of hash and 16 of host each, distinct
-per chunk of documents and bucket of hashes, so a phrase of a third of all documents costs one entry a host and
-chunk; only dense documents also send their own shingles, to be looked up.
+A document is spam if dense + replicated / 2 >= EVIDENCE.  A page that is half dense has to be stitched from replicated
+phrases by half, one that is a quarter dense entirely; a page of which three quarters are dense is spam whatever its
+phrases.  Prose copied elsewhere is replicated but not dense; a list of names or references is dense in neither.
 
-NULL or empty texts and documents without a shingle are no spam; repeated documents each give a row."""
+Documents are read in chunks.  A chunk sends each distinct shingle once, with its host or the mark of several, to the
+shingle's bucket; the bucket answers the chunk with one bit a shingle; the chunk's documents add up their bits.  So a
+phrase of a third of all documents costs one entry a chunk, nothing is kept by document on the way, and no
+document or phrase is left out.
+
+NULL or empty texts have no row; a document without a shingle has replicated 0; rows repeated under one doc_id give
+one row, of the highest values."""
 
 from __future__ import annotations
 
@@ -24,22 +30,22 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.functions.arrow import arrow_schema, batches_of
+from vellum.functions.arrow import arrow_schema, batches_of, groups
 from vellum.llm.pagelib import COMMON
 from vellum.llm.textnorm import skeleton
-from vellum.sources.tables import buckets_for, table
+from vellum.sources.tables import buckets_for, checkpoint, table
 
 SHINGLE = 5
 HOSTS = 2
-TIMES = 3
-DENSE = 0.5
-#: Least share of a dense document's shingles that are replicated.
-REPLICATED = 0.05
+EVIDENCE = 0.75
 CHUNK_CHARS = 8_000_000
-BUCKET_BYTES = 4 << 20
-_DDL = "bucket INT, phrases BINARY, asked BINARY"
-_SCORES = "doc_id BIGINT, shingles BIGINT, replicated BIGINT"
-_PAIR = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("n", "<u4")])
+#: Bytes of text whose shingles make a bucket, and of a partition of buckets or chunks.
+BUCKET_BYTES, PARTITION_BYTES = 4 << 20, 16 << 20
+SEVERAL = 0xFFFFFFFF  # host of a shingle that stands on several hosts of a chunk
+_PIECES = "chunk BIGINT, bucket BIGINT, n BIGINT, phrases BINARY, hosts BINARY, docs BINARY"
+_BITS = "chunk BIGINT, bucket BIGINT, n BIGINT, bits BINARY"
+_SCORES = "doc_id BIGINT, dense DOUBLE, shingles BIGINT, replicated DOUBLE"
+_DOC = np.dtype([("doc", "<i8"), ("dense", "<f8"), ("at", "<i8"), ("end", "<i8")])
 
 _LINK = re.compile(r"https?://|www\.|[a-z0-9-]+(?:\.[a-z0-9-]+)+/", re.I)
 _URL = re.compile(r"(?:https?://|www\.)[^\s\"'<>)\]]+|[a-z0-9-]+(?:\.[a-z0-9-]+)+/[^\s\"'<>)\]]*", re.I)
@@ -138,77 +144,125 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return (s ^ (s >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
 
-def _pack(buckets: int):
-    schema = arrow_schema(_DDL)
-
-    def chunk(hashes: list[np.ndarray], hosts: list[int], asked: list[tuple[int, np.ndarray]]):
-        pairs = [(np.unique(h >> np.uint64(16)) << np.uint64(16)) | np.uint64(host) for h, host in zip(hashes, hosts)]
-        pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.uint64)
-        mine = []
-        for doc, h in asked:
-            u, n = np.unique(h >> np.uint64(16), return_counts=True)
-            a = np.empty(len(u), dtype=_PAIR)
-            a["hash"], a["doc"], a["n"] = u << np.uint64(16), doc, n
-            mine.append(a)
-        mine_ = np.concatenate(mine) if mine else np.empty(0, dtype=_PAIR)
-        bucket = lambda h: ((h >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-        bp, bm = bucket(pairs), bucket(mine_["hash"])
-        op, om = np.argsort(bp, kind="stable"), np.argsort(bm, kind="stable")
-        pairs, bp, mine_, bm = pairs[op], bp[op], mine_[om], bm[om]
-        for b in np.unique(np.concatenate([bp, bm])).tolist():
-            p = pairs[np.searchsorted(bp, b) : np.searchsorted(bp, b, side="right")]
-            m = mine_[np.searchsorted(bm, b) : np.searchsorted(bm, b, side="right")]
-            yield b, p.tobytes(), m.tobytes()
+def _chunk(docs: list[tuple[int, float, np.ndarray, int]], buckets: int):
+    """Pieces of a chunk of documents (doc, dense, shingle hashes, host): one a bucket, and the chunk's documents as
+    indices into its distinct shingles, which are numbered by bucket, host and hash."""
+    uniques, counts = [], []
+    for _, _, h, _ in docs:
+        u, n = np.unique(h, return_counts=True)
+        uniques.append(u)
+        counts.append(n)
+    sizes = np.array([len(u) for u in uniques], dtype=np.int64)
+    flat = np.concatenate([*uniques, np.zeros(0, dtype=np.uint64)])
+    host = np.repeat(np.array([d[3] for d in docs], dtype=np.uint32), sizes)
+    phrase, at = np.unique(flat, return_inverse=True)
+    least, most = np.full(len(phrase), SEVERAL, dtype=np.uint32), np.zeros(len(phrase), dtype=np.uint32)
+    np.minimum.at(least, at, host)
+    np.maximum.at(most, at, host)
+    least[least != most] = SEVERAL
+    bucket = (phrase % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((phrase, least, bucket))
+    place = np.empty(len(order), dtype=np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    phrase, least, bucket = phrase[order], least[order], bucket[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, dtype=np.int64)
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
+        yield int(bucket[a]), b - a, phrase[a:b].tobytes(), least[a:b].tobytes(), None
+    table_ = np.empty(len(docs), dtype=_DOC)
+    end = np.cumsum(sizes)
+    table_["doc"], table_["dense"], table_["at"], table_["end"] = [d[0] for d in docs], [d[1] for d in docs], end - sizes, end
+    n = np.concatenate([*counts, np.zeros(0, dtype=np.int64)]).astype(np.uint32)
+    yield -1, len(docs), place[at].tobytes(), n.tobytes(), table_.tobytes()
+
+
+def _read(buckets: int):
+    schema = arrow_schema(_PIECES)
 
     def rows(batches):
-        hashes, hosts, asked, size = [], [], [], 0
+        from pyspark import TaskContext
+
+        part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for doc, text, host in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "host"))):
                 if doc is None or not text:
                     continue
                 dense, h = read_document(text)
-                if len(h):
-                    hashes.append(h)
-                    hosts.append(host)
-                    if dense > DENSE:
-                        asked.append((doc, h))
+                held.append((doc, dense, h, host & 0x7FFFFFFF))
                 size += len(text)
                 if size >= CHUNK_CHARS:
-                    yield from chunk(hashes, hosts, asked)
-                    hashes, hosts, asked, size = [], [], [], 0
-        yield from chunk(hashes, hosts, asked)
+                    yield from (((part << 32) | number, *piece) for piece in _chunk(held, buckets))
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield from (((part << 32) | number, *piece) for piece in _chunk(held, buckets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of(rows(batches), schema, 256)
+        yield from batches_of(rows(batches), schema, 64)
 
     return run
 
 
-def _count(group: pa.Table) -> pa.Table:
-    pairs = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in group.column("phrases").to_pylist()]))
-    asked = np.concatenate([np.frombuffer(x, dtype=_PAIR) for x in group.column("asked").to_pylist()])
-    phrase, hosts = np.unique(pairs >> np.uint64(16), return_counts=True)
-    out = {}
-    if len(asked) and len(phrase):
-        at = np.minimum(np.searchsorted(phrase, asked["hash"] >> np.uint64(16)), len(phrase) - 1)
-        many = (hosts[at] >= HOSTS) & (phrase[at] == asked["hash"] >> np.uint64(16)) | (asked["n"] >= TIMES)
-        doc, where = np.unique(asked["doc"], return_inverse=True)
-        out = {"doc_id": doc, "shingles": np.bincount(where, weights=asked["n"]).astype(np.int64), "replicated": np.bincount(where, weights=asked["n"] * many).astype(np.int64)}
-    schema = arrow_schema(_SCORES)
-    return pa.table([pa.array(out.get(f.name, []), type=f.type) for f in schema], schema=schema)
+def _answer(batches):
+    """A bit for each shingle of the pieces of sorted buckets: whether it stands on HOSTS hosts or more."""
+    for bucket, rows in groups(batches, "bucket"):
+        phrase = np.concatenate([np.frombuffer(r[3], dtype=np.uint64) for r in rows])
+        host = np.concatenate([np.frombuffer(r[4], dtype=np.uint32) for r in rows])
+        _, at = np.unique(phrase, return_inverse=True)
+        least, most = np.full(len(phrase), SEVERAL, dtype=np.uint32), np.zeros(len(phrase), dtype=np.uint32)
+        np.minimum.at(least, at, host)
+        np.maximum.at(most, at, host)
+        many = ((least != most) | (most == SEVERAL))[at]
+        a = 0
+        for chunk, _, n, *_ in rows:
+            yield chunk, bucket, n, np.packbits(many[a : a + n]).tobytes()
+            a += n
+
+
+def _score(batches):
+    """doc_id, dense, shingles, replicated of the chunks' documents; a chunk's documents come first (bucket -1)."""
+    for _, rows in groups(batches, "chunk"):
+        bits = [np.unpackbits(np.frombuffer(r[5], dtype=np.uint8), count=r[2]) for r in rows[1:]]
+        many = np.concatenate([*bits, np.zeros(0, dtype=np.uint8)])
+        _, _, _, place, n, _, docs = rows[0]
+        n = np.frombuffer(n, dtype=np.uint32).astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(n)])
+        found = np.concatenate([[0], np.cumsum(n * many[np.frombuffer(place, dtype=np.uint32)])])
+        docs = np.frombuffer(docs, dtype=_DOC)
+        t, f = total[docs["end"]] - total[docs["at"]], found[docs["end"]] - found[docs["at"]]
+        yield from zip(docs["doc"].tolist(), docs["dense"].tolist(), t.tolist(), (f / np.maximum(t, 1)).tolist())
+
+
+def document_scores(documents: DataFrame) -> DataFrame:
+    """doc_id, dense, shingles, replicated of every document (doc_id, text, source, volume_id) with a text."""
+    size = documents.select("doc_id", "text")
+    unknown = F.xxhash64("text")
+    host = F.when(F.col("volume_id").isNull(), unknown).otherwise(F.xxhash64(F.lower(F.trim(F.coalesce("source", F.lit("")))), "volume_id"))
+    host = F.pmod(host, F.lit(1 << 31))
+    buckets, parts = buckets_for(size, BUCKET_BYTES), buckets_for(size, PARTITION_BYTES)
+    # pinned: a chunk's number must mean the same documents in both of its uses
+    pieces = checkpoint(documents.select("doc_id", "text", host.alias("host")).mapInArrow(_read(buckets), _PIECES))
+    asked = pieces.filter("bucket >= 0").select("chunk", "bucket", "n", "phrases", "hosts")
+    bits = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_mapped(_answer, _BITS), _BITS)
+    none = F.lit(None).cast("binary")
+    docs = pieces.filter("bucket < 0").select("chunk", "bucket", "n", F.col("phrases").alias("place"), F.col("hosts").alias("times"), none.alias("bits"), "docs")
+    both = docs.unionByName(bits.select("chunk", "bucket", "n", none.alias("place"), none.alias("times"), "bits", none.alias("docs")))
+    scores = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(_mapped(_score, _SCORES), _SCORES)
+    return scores.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("dense", "shingles", "replicated")))
+
+
+def _mapped(fn, ddl: str):
+    schema = arrow_schema(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(fn(batches), schema, 2000)
+
+    return run
 
 
-def dense_documents(spark: SparkSession, data_dir: str) -> DataFrame:
-    """doc_id, shingles, replicated: each document that is more than half dense, its shingles with repeats, and how many
-    of them are replicated, on hosts of the whole corpus or on the page itself."""
-    docs = table(spark, data_dir, "documents")
-    host = F.pmod(F.xxhash64(F.lower(F.trim(F.coalesce("source", F.lit("")))), F.coalesce("volume_id", F.lit(-1))), F.lit(65536)).cast("int")
-    buckets = buckets_for(docs.select("doc_id", "text"), BUCKET_BYTES)
-    packed = docs.select("doc_id", "text", host.alias("host")).mapInArrow(_pack(buckets), _DDL)
-    scores = packed.groupBy("bucket").applyInArrow(_count, _SCORES)
-    return scores.groupBy("doc_id").agg(F.sum("shingles").alias("shingles"), F.sum("replicated").alias("replicated"))
+def p9_scores(spark: SparkSession, data_dir: str) -> DataFrame:
+    """doc_id, dense, shingles, replicated: the evidence of every document with a text."""
+    return document_scores(table(spark, data_dir, "documents").select("doc_id", "text", "source", "volume_id"))
 
 
 def p9_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """doc_id of the spam documents."""
-    return dense_documents(spark, data_dir).filter(F.col("replicated") >= REPLICATED * F.col("shingles")).select("doc_id")
+    return p9_scores(spark, data_dir).filter(F.col("dense") + F.col("replicated") / 2 >= EVIDENCE).select("doc_id")
