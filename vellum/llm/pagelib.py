@@ -14,7 +14,7 @@ _NUMBER_MARKS = "fol f s sid sida siv sivu p pag pagina page pg seite bl blatt 
 _MARK = "|".join(re.escape(skeleton(x)) for x in _NUMBER_MARKS.split())
 PAGE_NUMBER = re.compile(rf"[\W_]*(?:(?:{_MARK})\b[\s.:]*)?[0-9oil]{{0,3}}[0-9][0-9oil]{{0,3}}\s*(?:[rv]|recto|verso)?[\W_]*")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
-EDGE = 2  # lines at either end of a page that may be furniture
+EDGE = 2  # by definition, furniture is one of this many lines at either end of a page: a title and a number
 
 
 def header_key(text: str) -> str:
@@ -45,7 +45,7 @@ def furniture(lines: list[tuple[int, str]], headers: list[str]) -> set[int]:
     out, n = set(), len(lines)
     for i in sorted({*range(min(EDGE, n)), *range(max(0, n - EDGE), n)}):
         text = lines[i][1]
-        if not text or len(text) > 90:
+        if not text:
             continue
         s = skeleton(text).lower()
         if "§" not in s and PAGE_NUMBER.fullmatch(s):
@@ -62,18 +62,24 @@ _EDGE_PUNCT = re.compile(r"^[\W_]+|[\W_]+$")
 
 def repeated_share(ws: list[str], n: int = 4, times: int = 3) -> float:
     """Share of words in a second or later copy of a passage of ``n`` or more words found ``times`` or more."""
+    return len(copies(ws, n, times)) / len(ws) if ws else 0.0
+
+
+def copies(ws: list[str], n: int = 4, times: int = 3) -> set[int]:
+    """Places of the words in a second or later copy of a passage of ``n`` or more words found ``times`` or more."""
     if len(ws) < n + 1:
-        return 0.0
+        return set()
     grams = list(zip(*(ws[k:] for k in range(n))))
     count = Counter(grams)
     if max(count.values()) < times:
-        return 0.0
-    seen, first, again = set(), set(), set()
+        return set()
+    seen, again = set(), set()
     for i, g in enumerate(grams):
         if count[g] >= times:
-            (again if g in seen else first).update(range(i, i + n))
+            if g in seen:
+                again.update(range(i, i + n))
             seen.add(g)
-    return len(again) / len(ws)
+    return again
 
 
 _VOWEL = re.compile("[aeiouyåäöüéæøыэюяиѣ]")
@@ -136,9 +142,13 @@ _TOKENS = _Tokens()
 class Page:
     """Tokens, furniture, statistics and kind of one page; ``lines``: its current ``(line_pos, text)`` in order."""
 
-    def __init__(self, lines: list[tuple[int, str]], headers: list[str]):
+    def __init__(self, lines: list[tuple[int, str]], headers: list[str], frequent: bool = False):
+        """``frequent``: whether lines that equal a header are left out wherever they stand, not as furniture only."""
         self.lines = lines
         self.skip = furniture(lines, headers)
+        if frequent and headers:
+            known = set(headers)
+            self.skip |= {i for i, (_, text) in enumerate(lines) if text and header_key(text) in known}
         get = _TOKENS.__getitem__
         self.tokens = [list(map(get, text.split())) if text and i not in self.skip else [] for i, (_, text) in enumerate(lines)]
 

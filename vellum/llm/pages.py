@@ -11,25 +11,38 @@ from vellum.functions.arrow import groups
 from vellum.llm.pagelib import Page, header_key
 from vellum.sources.tables import table
 
-#: A letters-only form at the head of pages is a running title if it stands on this share of the volume's pages ...
+#: A letters-only form of a line is above the limit if it stands on this share of the volume's pages ...
 HEADER_SHARE = 0.05
 #: ... and on this many pages at least; it has two words or more.
 HEADER_PAGES = 3
 HEADER_ROW = -1_000_000  # line_pos of the row that carries a page's running titles
 
 
+def line_frequency(lines: DataFrame) -> DataFrame:
+    """volume_id, line_hash, pages: distinct pages of each normalised line of each volume, of all lines.
+
+    A line is normalised to its letters, lower case, so that 'Title 12' and '14 Title 1801-1805' are one; lines under
+    two words are left out.  Distinct (volume, hash, page) come first, so a title on a third of all rows is
+    spread by page before it is counted."""
+    hashed = lines.filter("volume_id is not null and page_id is not null").select("volume_id", "page_id", _masked("text").alias("key"))
+    hashed = hashed.filter(F.col("key").contains(" ")).select("volume_id", "page_id", F.xxhash64("key").alias("line_hash"))
+    return hashed.groupBy("volume_id", "line_hash", "page_id").agg(F.lit(1).alias("one")).groupBy("volume_id", "line_hash").agg(F.count("*").alias("pages"))
+
+
+def frequent_lines(lines: DataFrame) -> DataFrame:
+    """volume_id, key: the normalised lines above the limits, wherever on the page they stand.
+
+    A page has so many lines, so at most lines / HEADER_SHARE of a page forms pass: a volume's list is bounded."""
+    often = line_frequency(lines).filter(F.col("pages") >= HEADER_PAGES).join(table_pages(lines), "volume_id")
+    often = often.filter(F.col("pages") >= HEADER_SHARE * F.col("volume_pages")).select("volume_id", "line_hash")
+    texts = lines.select("volume_id", _masked("text").alias("key")).withColumn("line_hash", F.xxhash64("key"))
+    return texts.join(often, ["volume_id", "line_hash"]).groupBy("volume_id", "line_hash").agg(F.min("key").alias("key")).select("volume_id", "key")
+
+
 def running_titles(lines: DataFrame, volumes: DataFrame) -> DataFrame:
-    """volume_id, headers: the volume's running titles, letters only, joined by line feeds.
-
-    Digits are masked, so that 'Title 12' and '14 Title 1801-1805' are one form.  Distinct pages are counted
-    per volume and form (cross-document line frequency), pre-aggregated before each shuffle; at most
-    1 / HEADER_SHARE forms a head line pass, so a volume's list is bounded.  The volume's own title is one."""
-    heads = lines.filter(F.col("line_pos") <= 1).select("volume_id", "page_id", _masked("text").alias("key"))
-    heads = heads.filter("volume_id is not null").groupBy("volume_id", "key", "page_id").agg(F.lit(1).alias("one")).groupBy("volume_id", "key").agg(F.count("*").alias("pages"))
-    per = table_pages(lines)
-    keys = heads.filter(F.col("key").contains(" ") & (F.col("pages") >= HEADER_PAGES)).join(per, "volume_id").filter(F.col("pages") >= HEADER_SHARE * F.col("volume_pages")).select("volume_id", "key")
+    """volume_id, headers: the volume's frequent lines and its title, letters only, joined by line feeds."""
     titles = volumes.select("volume_id", _masked("title").alias("key")).filter("volume_id is not null and key <> ''")
-    return keys.unionByName(titles).groupBy("volume_id").agg(F.array_join(F.array_sort(F.collect_set("key")), "\n").alias("headers"))
+    return frequent_lines(lines).unionByName(titles).groupBy("volume_id").agg(F.array_join(F.array_sort(F.collect_set("key")), "\n").alias("headers"))
 
 
 def table_pages(lines: DataFrame) -> DataFrame:
@@ -72,9 +85,9 @@ def page_of(rows: list[tuple]) -> tuple[list[tuple[int, str]], list[str], dict[i
     return list(latest.items()), headers, uids
 
 
-def pages_in(batches) -> Iterator[tuple[int, Page]]:
-    """(page_id, Page) of each page with a line in sorted batches of ``sorted_pages``."""
+def pages_in(batches, frequent: bool = False) -> Iterator[tuple[int, Page]]:
+    """(page_id, Page) of each page with a line in sorted batches of ``sorted_pages``; ``frequent`` as in ``Page``."""
     for page_id, rows in groups(batches, "page_id"):
         lines, headers, _ = page_of(rows)
         if lines:
-            yield page_id, Page(lines, headers)
+            yield page_id, Page(lines, headers, frequent)

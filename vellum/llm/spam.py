@@ -40,7 +40,7 @@ HOSTS = 2
 EVIDENCE = 0.75
 CHUNK_CHARS = 8_000_000
 #: Bytes of text whose shingles make a bucket, and of a partition of buckets or chunks.
-BUCKET_BYTES, PARTITION_BYTES = 4 << 20, 16 << 20
+BUCKET_BYTES, PARTITION_BYTES = 2 << 20, 4 << 20
 SEVERAL = 0xFFFFFFFF  # host of a shingle that stands on several hosts of a chunk
 _PIECES = "chunk BIGINT, bucket BIGINT, n BIGINT, phrases BINARY, hosts BINARY, docs BINARY"
 _BITS = "chunk BIGINT, bucket BIGINT, n BIGINT, bits BINARY"
@@ -237,7 +237,7 @@ def document_scores(documents: DataFrame) -> DataFrame:
     unknown = F.xxhash64("text")
     host = F.when(F.col("volume_id").isNull(), unknown).otherwise(F.xxhash64(F.lower(F.trim(F.coalesce("source", F.lit("")))), "volume_id"))
     host = F.pmod(host, F.lit(1 << 31))
-    buckets, parts = buckets_for(size, BUCKET_BYTES), buckets_for(size, PARTITION_BYTES)
+    buckets, parts = buckets_for(size, BUCKET_BYTES, 1), buckets_for(size, PARTITION_BYTES, 1)
     # pinned: a chunk's number must mean the same documents in both of its uses
     pieces = checkpoint(documents.select("doc_id", "text", host.alias("host")).mapInArrow(_read(buckets), _PIECES))
     asked = pieces.filter("bucket >= 0").select("chunk", "bucket", "n", "phrases", "hosts")
