@@ -3,14 +3,16 @@
 Every text is brought to its confusables skeleton (decompose, prototype, decompose); texts with equal skeletons
 look the same.  Originals are grouped by the skeleton's 128-bit hash, so that a shuffle carries 16 bytes a text.
 
-Copies of one text form one class (skeleton, text); classes are pre-aggregated before pairs are made, so a
-skeleton held by a third of all rows costs one row per distinct text and partition.  NULL texts and texts under
-``min_length`` characters give no pair; repeated recognitions count once (the latest)."""
+Copies of one text form one class (skeleton, text); classes are pre-aggregated before anything is joined, so a skeleton held by
+a third of all rows costs one row per distinct text and partition.  Lines of a skeleton with up to PAIRED lines are all
+paired; in a larger one, each line is paired with the first line of another text than its own - a row a line, which
+links them all - and ``p5_classes`` gives the membership.  NULL texts and texts under ``MIN_LENGTH`` characters give no
+pair; repeated recognitions count once (the latest)."""
 
 from __future__ import annotations
 
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions.arrow import groups, map_rows
@@ -18,9 +20,8 @@ from vellum.llm.textnorm import skeleton
 from vellum.sources.tables import checkpoint, table
 
 MIN_LENGTH = 20
-#: Copies of one text up to which every copy is paired with every copy of a text that looks the same; beyond
-#: it, copies are paired with the representative of the other text, and ``p5_classes`` gives the membership.
-PAIRED_COPIES = 64
+#: Lines of one skeleton up to which they are paired with one another; beyond it, they are paired with a representative.
+PAIRED = 64
 _DDL = "line_uid BIGINT, skel BINARY, txt BINARY"
 
 
@@ -41,19 +42,21 @@ def hashed_lines(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def look_alike_classes(hashed: DataFrame) -> DataFrame:
-    """skel, txt, rep, copies of every text that another text looks like."""
+    """skel, txt, rep, copies, and the skeleton's lines, texts, its first line (first_txt, first_uid) and the first of any
+    other text (other_uid), of every text that another text looks like."""
     classes = hashed.groupBy("skel", "txt").agg(F.min("line_uid").alias("rep"), F.count("*").alias("copies"))
-    mixed = classes.groupBy("skel").agg(F.min("txt").alias("lo"), F.max("txt").alias("hi")).filter("lo <> hi").select("skel")
-    return classes.join(mixed, "skel", "left_semi")
+    whole = classes.groupBy("skel").agg(F.min(F.struct("rep", "txt")).alias("first"), F.sum("copies").alias("lines"), F.count("*").alias("n_texts")).filter("n_texts > 1")
+    whole = whole.select("skel", F.col("first.txt").alias("first_txt"), F.col("first.rep").alias("first_uid"), "lines", "n_texts")
+    joined = classes.join(whole, "skel")
+    other = joined.filter("txt <> first_txt").groupBy("skel").agg(F.min("rep").alias("other_uid"))
+    return joined.join(other, "skel")
 
 
 def p5_classes(spark: SparkSession, data_dir: str) -> DataFrame:
     """line_uid, class_uid, look_uid, n_texts: each line that another text looks like, the first line with its
     text, the first line that looks like it, and the number of differing texts that do."""
     hashed = checkpoint(hashed_lines(spark, data_dir))
-    classes = look_alike_classes(hashed)
-    w = Window.partitionBy("skel")
-    named = classes.select("skel", "txt", F.col("rep").alias("class_uid"), F.min("rep").over(w).alias("look_uid"), F.count("*").over(w).alias("n_texts"))
+    named = look_alike_classes(hashed).select("skel", "txt", F.col("rep").alias("class_uid"), F.col("first_uid").alias("look_uid"), "n_texts")
     return hashed.join(named, ["skel", "txt"]).select("line_uid", "class_uid", "look_uid", "n_texts")
 
 
@@ -61,12 +64,14 @@ def p5_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """uid_a, uid_b of lines that look the same but whose texts differ, the smaller first."""
     hashed = checkpoint(hashed_lines(spark, data_dir))
     classes = checkpoint(look_alike_classes(hashed))
-    rows = hashed.join(classes, ["skel", "txt"]).select("skel", "txt", "line_uid", "rep", (F.col("copies") <= PAIRED_COPIES).alias("few"))
-    a, b = rows.alias("a"), rows.alias("b")
-    # a line meets the other text's copies if both are few, else only its representative
-    meets = (F.col("a.few") & F.col("b.few") & (F.col("a.line_uid") < F.col("b.line_uid"))) | (~(F.col("a.few") & F.col("b.few")) & (F.col("b.line_uid") == F.col("b.rep")))
-    pairs = a.join(b, (F.col("a.skel") == F.col("b.skel")) & (F.col("a.txt") != F.col("b.txt")) & meets)
-    return pairs.select(F.least("a.line_uid", "b.line_uid").alias("uid_a"), F.greatest("a.line_uid", "b.line_uid").alias("uid_b")).distinct()
+    rows = hashed.join(classes, ["skel", "txt"]).select("skel", "txt", "line_uid", "lines", "first_txt", "first_uid", "other_uid")
+    few = rows.filter(F.col("lines") <= PAIRED).select("skel", "txt", "line_uid")
+    a, b = few.alias("a"), few.alias("b")
+    pairs = a.join(b, (F.col("a.skel") == F.col("b.skel")) & (F.col("a.txt") != F.col("b.txt")) & (F.col("a.line_uid") < F.col("b.line_uid")))
+    pairs = pairs.select(F.col("a.line_uid").alias("uid_a"), F.col("b.line_uid").alias("uid_b"))
+    mate = F.when(F.col("txt") == F.col("first_txt"), F.col("other_uid")).otherwise(F.col("first_uid"))
+    many = rows.filter(F.col("lines") > PAIRED).select(F.least("line_uid", mate).alias("uid_a"), F.greatest("line_uid", mate).alias("uid_b"))
+    return pairs.unionByName(many).distinct()
 
 
 def _forms(batches):

@@ -1,21 +1,25 @@
 """Problem 8: mixing sources to target weights.
 
-Documents are laid end to end within their source, in hashed order, and cut into blocks of BLOCK tokens.  The mix has
-as many blocks as the scarcest source allows every present source to keep its share (or the number asked for).
-Each output shard draws its source counts from the multinomial distribution, conditioned on the sources'
-totals so that the shares come out exact; a source's slots are numbered through all shards, slot j is pass
-j div n over the source's n blocks, and within a pass a pseudorandom permutation of the block index (a Feistel
+Documents are laid end to end within their source, in hashed order, and cut into blocks of BLOCK tokens; a source's last
+block is as short as it comes.  The mix is planned for a budget of tokens, by default all that the target sources
+have: a source gives its share of the budget, or what its documents give when each is used max_repeats times, if that is
+less; ``p8_shares`` reports both.  Each output shard of SHARD_BLOCKS blocks draws its source counts from the multinomial
+distribution, conditioned on the sources' totals so that the shares come out exact: a binary tree over the
+shards splits each source's blocks binomially at every node, the same way at every size, and a shard's counts are read
+down its own path, so no list of shards is held anywhere.  A source's slots are numbered through all shards, slot j is
+pass j div n over the source's n blocks, and within a pass a pseudorandom permutation of the block index (a Feistel
 network) says which block it takes.  Blocks join their slots by index, with their token ids; a text is encoded once for
 its length, which its place depends on, and again when it is cut, so that no tokens are stored in between.
 
 A block is used once a pass at most, so no document is used more often than its source's ``max_repeats``.  A source
 without documents, or a document without a target, adds nothing; its share is reported as 0.  NULL and empty
-texts have no tokens.  A source's last, incomplete block stays out."""
+texts have no tokens.  The tokenizer's file is given to the executors by Spark; its path is a parameter."""
 
 from __future__ import annotations
 
 import base64
 import functools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +34,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how the vocabulary's byte-level BPE splits a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK = 512
-SHARD_BLOCKS, SHARDS = 1024, 4096  # blocks of a shard at least, shards at most
+SHARD_BLOCKS = 1024  # blocks of a shard
 SEED = 17
 
 
@@ -43,11 +47,25 @@ def _encoding(path: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _give(spark: SparkSession, path: str) -> str:
+    """Ships the tokenizer's file to the executors; its name there."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def _given(name: str):
+    from pyspark import SparkFiles
+
+    return _encoding(SparkFiles.get(name))
+
+
 def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, source, text_key, n_tokens of documents (doc_id, source, text); text_key: hash of the text."""
 
+    name = _give(documents.sparkSession, tokenizer)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
+        encode = _given(name).encode_ordinary
         for b in batches:
             n = [len(encode(t)) if t else 0 for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), b.column("text_key"), pa.array(n, type=pa.int64())], names=["doc_id", "source", "text_key", "n_tokens"])
@@ -80,32 +98,54 @@ def lay_out(sized: DataFrame) -> DataFrame:
     return tape.join(offsets, ["source", "part"]).select("source", "doc_id", "text_key", "n_tokens", (F.col("offset") + F.col("run") - F.col("n_tokens")).alias("start"))
 
 
-def plan(available: dict[str, int], targets: list[tuple[str, float, int]], total_blocks: int | None = None) -> dict[str, tuple[int, int]]:
-    """source -> (its blocks, blocks drawn) of the sources that have both a target and a whole block."""
-    have = {s: (available.get(s, 0) // BLOCK, share, rep) for s, share, rep in targets if share and share > 0 and rep and rep > 0 and available.get(s, 0) >= BLOCK}
-    if not have:
-        return {}
-    most = min(int(n * rep / share) for n, share, rep in have.values())
-    total = most if total_blocks is None else total_blocks
-    return {s: (n, min(int(round(share * total)), n * rep)) for s, (n, share, rep) in have.items()}
-
-
-def draw_shards(counts: list[int], seed: int = SEED) -> np.ndarray:
-    """(shards, sources): multinomial source counts of each shard, conditioned on the sources' totals."""
-    rng, left = np.random.default_rng(seed), np.array(counts, dtype=np.int64)
-    total = int(left.sum())
-    shards = max(1, min(SHARDS, -(-total // SHARD_BLOCKS)))
-    out = []
-    for k in range(shards, 0, -1):
-        m = -(-int(left.sum()) // k)
-        if left.sum() < 1_000_000_000:
-            draw = rng.multivariate_hypergeometric(left, m, method="marginals") if m else np.zeros_like(left)
-        else:  # beyond what that distribution is computed for: a multinomial draw, held to what is left
-            draw = np.minimum(rng.multinomial(m, left / left.sum()), left)
-        out.append(draw)
-        left = left - draw
-    out[-1] = out[-1] + left
-    return np.array(out, dtype=np.int64)
+def plan(available: dict[str, int], targets: list[tuple[str, float, int]], budget: int | None = None) -> dict[str, tuple[int, int]]:
+    """source -> (its blocks, blocks drawn) of the sources with a target and a token; ``budget``: tokens of the mix."""
+    have = {s: (available[s], share, rep) for s, share, rep in targets if share and share > 0 and rep and rep > 0 and available.get(s, 0) > 0}
+    total = sum(n for n, _, _ in have.values()) if budget is None else budget
+    out = {}
+    for s, (n, share, rep) in have.items():
+        blocks = -(-n // BLOCK)
+        want = min(share * total, n * rep)
+        # whole passes give all tokens of the source, the rest blocks of about BLOCK
+        passes = int(want // n)
+        out[s] = (blocks, min(passes * blocks + int(round((want - passes * n) / (n / blocks))), blocks * rep))
+    return out
+
+
+def split_counts(counts: np.ndarray, size: int, left: int, rng: np.random.Generator) -> np.ndarray:
+    """The part of ``counts`` (summing to ``size``) that falls to the first ``left`` slots: binomial for each source,
+    the surplus or lack against ``left`` settled source by source in a random order."""
+    out = rng.binomial(counts, left / size) if size else np.zeros_like(counts)
+    over = int(out.sum()) - left
+    for k in rng.permutation(len(counts)).tolist():
+        move = min(over, int(out[k])) if over > 0 else -min(-over, int(counts[k] - out[k]))
+        out[k] -= move
+        over -= move
+    return out
+
+
+class Shards:
+    """The source counts of the shards of a mix and the sources' first slots in them, found by descent in a binary tree."""
+
+    def __init__(self, counts: list[int], seed: int = SEED):
+        self.counts, self.seed = np.array(counts, dtype=np.int64), seed
+        self.total = int(self.counts.sum())
+        self.shards = -(-self.total // SHARD_BLOCKS)
+        self.path: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # last shard's path: (low, high, counts, first)
+
+    def of(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, first slots) of one shard; consecutive shards share most of their path."""
+        while self.path and not self.path[-1][0] <= shard < self.path[-1][1]:
+            self.path.pop()
+        if not self.path:
+            self.path.append((0, self.shards, self.counts, np.zeros_like(self.counts)))
+        while self.path[-1][1] - self.path[-1][0] > 1:
+            low, high, counts, first = self.path[-1]
+            mid = (low + high) // 2
+            size = int(counts.sum())
+            left = split_counts(counts, size, min(size, (mid - low) * SHARD_BLOCKS), np.random.default_rng([self.seed, low, high]))
+            self.path.append((low, mid, left, first) if shard < mid else (mid, high, counts - left, first + left))
+        return self.path[-1][2], self.path[-1][3]
 
 
 def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -127,29 +167,32 @@ def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _choose(seed: int):
-    schema = arrow_schema("shard INT, source STRING, pass INT, block BIGINT")
+def _choose(names: list[str], blocks: list[int], counts: list[int], seed: int):
+    """The slots of each shard number: shard, source, pass, block."""
+    schema = arrow_schema("shard BIGINT, source STRING, pass INT, block BIGINT")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = Shards(counts, seed)
         for b in batches:
-            for shard, source, number, first, count, n in zip(*(c.to_pylist() for c in b.columns)):
-                for a in range(first, first + count, 100_000):
-                    j = np.arange(a, min(a + 100_000, first + count), dtype=np.int64)
+            for shard in b.column("id").to_pylist():
+                drawn, first = tree.of(shard)
+                for i in np.flatnonzero(drawn).tolist():
+                    n, j = blocks[i], first[i] + np.arange(drawn[i], dtype=np.int64)
                     times, block = j // n, np.empty(len(j), dtype=np.int64)
                     for p in np.unique(times).tolist():
                         at = times == p
-                        block[at] = permute(j[at] % n, n, seed + 1000 * number + p)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), shard, dtype=np.int32)), pa.array([source] * len(j)), pa.array(times.astype(np.int32)), pa.array(block)], schema=schema)
+                        block[at] = permute(j[at] % n, n, seed + 1000 * i + p)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), shard, dtype=np.int64)), pa.array([names[i]] * len(j)), pa.array(times.astype(np.int32)), pa.array(block)], schema=schema)
 
     return run
 
 
-def _cut(tokenizer: str):
+def _cut(name: str):
     """Pieces of documents (source, doc_id, start, text), cut where their source's blocks end, with their token ids."""
     names = ["source", "block", "doc_id", "from_token", "n_tokens", "at_token", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
+        encode = _given(name).encode_ordinary
         for whole in batches:
             for k in range(0, len(whole), 1000):
                 rows, ids = [], []
@@ -184,10 +227,10 @@ def _token_pieces(docs: DataFrame, tape: DataFrame, tokenizer: str) -> DataFrame
     places = tape.select(*key, "start").withColumn("copy", F.row_number().over(again.orderBy("start")))
     # both grow with the data, as below
     both = texts.hint("merge").join(places.hint("merge"), [*key, "copy"]).select("source", "doc_id", "start", "text")
-    return both.mapInArrow(_cut(tokenizer), "source STRING, block BIGINT, doc_id BIGINT, from_token BIGINT, n_tokens BIGINT, at_token BIGINT, tokens ARRAY<INT>")
+    return both.mapInArrow(_cut(_give(docs.sparkSession, tokenizer)), "source STRING, block BIGINT, doc_id BIGINT, from_token BIGINT, n_tokens BIGINT, at_token BIGINT, tokens ARRAY<INT>")
 
 
-def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, total_blocks: int | None, payload: bool):
+def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, budget: int | None, payload: bool):
     clean = F.lower(F.trim(F.col("source")))
     targets = table(spark, data_dir, "mix_targets").select(clean.alias("source"), "target_share", "max_repeats").filter("source is not null")
     docs = table(spark, data_dir, "documents").select("doc_id", clean.alias("source"), "text").filter("doc_id is not null")
@@ -196,42 +239,45 @@ def _mixed(spark: SparkSession, data_dir: str, tokenizer: str, total_blocks: int
     docs = docs.filter(F.col("source").isin([s for s, _, _ in wanted]))
     tape = lay_out(checkpoint(count_tokens(docs, tokenizer)))
     available = {r.source: r.n for r in tape.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
-    drawn = plan(available, wanted, total_blocks)
+    drawn = plan(available, wanted, budget)
     names = sorted(drawn)
-    counts = draw_shards([drawn[s][1] for s in names]) if names else np.zeros((0, 0), dtype=np.int64)
-    first = np.cumsum(counts, axis=0) - counts
-    rows = [(k, s, i, int(first[k, i]), int(counts[k, i]), drawn[s][0]) for k in range(len(counts)) for i, s in enumerate(names) if counts[k, i]]
-    slots = spark.createDataFrame(rows, "shard INT, source STRING, number INT, first BIGINT, count BIGINT, n BIGINT").repartition("shard").mapInArrow(_choose(SEED), "shard INT, source STRING, pass INT, block BIGINT")
+    shards = Shards([drawn[s][1] for s in names]).shards if names else 0
+    choose = _choose(names, [drawn[s][0] for s in names], [drawn[s][1] for s in names], SEED)
+    slots = spark.range(shards).mapInArrow(choose, "shard BIGINT, source STRING, pass INT, block BIGINT")
     pieces = _token_pieces(docs, tape, tokenizer) if payload else _pieces(tape)
     # both sides grow with the data, whatever their estimated size: never broadcast one
     mix = slots.hint("merge").join(pieces.hint("merge"), ["source", "block"]).select("shard", F.xxhash64("source", "block", "pass", F.lit(SEED)).alias("slot_key"), "source", "block", "pass", "doc_id", "from_token", "n_tokens", "at_token", *["tokens"] * payload)
     return mix, targets, available
 
 
-def p8_mix(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
+def p8_mix(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, budget: int | None = None) -> DataFrame:
     """The mix: for each block of each shard (in the order of slot_key) the pieces of documents it is made of -
     doc_id, from_token, n_tokens, at_token, where the piece stands in the block, and tokens, its token ids."""
-    return _mixed(spark, data_dir, tokenizer, total_blocks, True)[0]
+    return _mixed(spark, data_dir, tokenizer, budget, True)[0]
 
 
-def p8_blocks(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
+def p8_blocks(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, budget: int | None = None) -> DataFrame:
     """shard, slot_key, source, block, pass, tokens: the mix as blocks of BLOCK token ids."""
     pieces = F.array_sort(F.collect_list(F.struct("at_token", "tokens")))
-    return p8_mix(spark, data_dir, tokenizer, total_blocks).groupBy("shard", "slot_key", "source", "block", "pass").agg(F.flatten(F.transform(pieces, lambda p: p["tokens"])).alias("tokens"))
+    return p8_mix(spark, data_dir, tokenizer, budget).groupBy("shard", "slot_key", "source", "block", "pass").agg(F.flatten(F.transform(pieces, lambda p: p["tokens"])).alias("tokens"))
 
 
-def p8_pointers(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
+def p8_pointers(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, budget: int | None = None) -> DataFrame:
     """The mix without its token ids: where each piece stands, and in which document."""
-    return _mixed(spark, data_dir, tokenizer, total_blocks, False)[0]
+    return _mixed(spark, data_dir, tokenizer, budget, False)[0]
 
 
-def p8_shares(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, total_blocks: int | None = None) -> DataFrame:
-    """source, target_share, max_repeats, tokens_available, tokens, share, most_used: what each source really gives,
-    and how often its most used document occurs."""
-    mix, targets, available = _mixed(spark, data_dir, tokenizer, total_blocks, False)
+def p8_shares(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER, budget: int | None = None) -> DataFrame:
+    """source, target_share, max_repeats, tokens_available, tokens, share, budget_share, most_used: what each source really
+    gives, of the tokens of the mix and of its budget, and how often its most used document occurs.  A source whose
+    documents are all used max_repeats times falls short of its target in the latter."""
+    mix, targets, available = _mixed(spark, data_dir, tokenizer, budget, False)
     # a document's pieces lie in several blocks; each place of it is used once a pass
     used = mix.groupBy("source", "doc_id", "from_token").agg(F.count("*").alias("times"), F.sum("n_tokens").alias("n")).groupBy("source").agg(F.max("times").alias("most_used"), F.sum("n").alias("tokens"))
     have = spark.createDataFrame([*available.items()], "source STRING, tokens_available BIGINT")
     out = targets.join(have, "source", "left").join(used, "source", "left").na.fill(0, ["tokens_available", "tokens", "most_used"])
     # a row per target: one small window
-    return out.select("source", "target_share", "max_repeats", "tokens_available", "tokens", F.coalesce(F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy())), F.lit(0.0)).alias("share"), "most_used")
+    every = Window.partitionBy()
+    whole = F.sum("tokens_available").over(every) if budget is None else F.lit(budget)
+    share = lambda n: F.coalesce(F.try_divide(F.col("tokens"), n), F.lit(0.0))
+    return out.select("source", "target_share", "max_repeats", "tokens_available", "tokens", share(F.sum("tokens").over(every)).alias("share"), share(whole).alias("budget_share"), "most_used")

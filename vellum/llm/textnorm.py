@@ -12,16 +12,16 @@ import re
 import sys
 import unicodedata
 
-# Letters of other scripts that print like a basic Latin letter.
+# Letters of other scripts, and phonetic ones, that print like a basic Latin letter.
 _LATIN_PROTOTYPE = {
-    "a": "аα", "c": "сϲ", "d": "ԁ", "e": "е", "h": "һ", "i": "іι", "j": "јϳ", "k": "κ", "l": "ӏ",
-    "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ", "s": "ѕ", "u": "υս", "v": "νѵ", "w": "ԝ", "x": "х", "y": "уγ",
-    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ",
-    "K": "КΚ", "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ", "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ",
-    "X": "ХΧ", "Y": "ҮΥ", "Z": "Ζ",
+    "a": "аαɑ⍺", "c": "сϲⲥ", "d": "ԁ", "e": "е", "g": "ɡց", "h": "һհ", "i": "іι", "j": "јϳ", "k": "κ", "l": "ӏ",
+    "n": "ո", "o": "оοօⲟ", "p": "рρⲣ", "q": "ԛ", "s": "ѕꜱ", "u": "υս", "v": "νѵ", "w": "ԝ", "x": "х", "y": "уγ", "æ": "ӕ",
+    "A": "АΑᎪꓮ", "B": "ВΒᏴꓐ", "C": "СϹᏟꓚⲤ", "D": "Ꭰꓓ", "E": "ЕΕᎬꓰ", "F": "Ϝꓝ", "G": "ԌᏀꓖ", "H": "НΗᎻꓧⲎ", "I": "ІΙӀꓲ", "J": "ЈͿᎫꓙ",
+    "K": "КΚᏦꓗⲔ", "L": "Ꮮꓡ", "M": "МΜϺᎷꓟⲘ", "N": "ΝꓠⲚ", "O": "ОΟՕꓳⲞ", "P": "РΡᏢꓑⲢ", "Q": "Ԛ", "R": "Ꭱꓣ", "S": "ЅՏᏚꓢ", "T": "ТΤᎢꓔⲦ",
+    "U": "Սꓴ", "V": "ѴᏙꓦ", "W": "ԜᎳꓪ", "X": "ХΧꓫⲬ", "Y": "ҮΥꓬ", "Z": "ΖᏃꓜ", "Æ": "Ӕ",
 }
 _HYPHENS = "‐‑‒–−﹣－⁃˗"
-_QUOTES = {"'": "’‘ʼʹ′", '"': "“”„″"}
+_QUOTES = {"'": "’‘ʼʹ′", '"': "“”„″", "/": "∕", ":": "∶ː", "!": "ǃ"}
 
 
 def _is_invisible(ch: str) -> bool:
