@@ -250,25 +250,27 @@ def readings(word: str):
                 yield word[:i] + right + word[i + len(wrong) :]
 
 
-def correct(word: str, count: int, forms: dict[str, int], ratio: int = 25) -> str | None:
-    """The frequent form that ``word`` is a misreading of, or None.
+def candidates(word: str, count: int, forms: dict[str, int], far: int = 25, supported: int = 2) -> list[tuple[str, bool]]:
+    """The forms that ``word`` may be a misreading of, each with whether that is sure.
 
-    A form has to be at least ``ratio`` times as frequent (a third of that for a word met once); a word with a
-    digit among its letters needs a form that is as frequent at least, and may hold two wrong characters."""
+    Sure, and then the only one, is the most frequent form ``far`` times as frequent or more (a third of that for a word met
+    once); a word with a digit among its letters needs a form that is as frequent at least, and may hold two wrong
+    characters.  Else all forms ``supported`` times as frequent or more may be it."""
     digit = any(c.isdigit() for c in word)
-    need = max(2, count) if digit else ratio // 3 if count <= 1 else ratio * count
-    best = None
-    for r in readings(word):
-        n = forms.get(r, 0)
-        if n >= need and (best is None or n > forms[best]):
-            best = r
+    need = max(2, count) if digit else far // 3 if count <= 1 else far * count
+    one = {r: forms[r] for r in readings(word) if r in forms and r != word}
+    best = max((r for r in one if one[r] >= need), key=lambda r: (one[r], r), default=None)
     if best is None and digit:
-        for r in readings(word):
-            for q in readings(r):
-                n = forms.get(q, 0)
-                if n >= need and (best is None or n > forms[best]):
-                    best = q
-    return best
+        two = {q: forms[q] for r in readings(word) for q in readings(r) if q in forms and q != word}
+        best = max((q for q in two if two[q] >= need), key=lambda q: (two[q], q), default=None)
+    if best is not None:
+        return [(best, True)]
+    return [] if digit else sorted((r, False) for r in one if one[r] >= supported * max(1, count))
+
+
+def correct(word: str, count: int, forms: dict[str, int]) -> str | None:
+    """The form that ``word`` surely is a misreading of, or None."""
+    return next((r for r, sure in candidates(word, count, forms) if sure), None)
 
 
 _CYRILLIC = re.compile("[Ѐ-џѢ-ѵ]")
@@ -291,7 +293,8 @@ def repaired(raw: str, word: str, reading: str) -> str:
 
 
 _FOLIO = re.compile(r"\d+[rv]|[\d½¼¾⁄.,/-]+|n:o|\d+[-–.:]\w*")
-_WORDISH = re.compile(r"[^\W\d_]")
+#: Marks of a word cut at a line's end.
+MARKS = ("-", "¬", "=")
 
 
 def digit_word(w: str) -> bool:
@@ -299,19 +302,6 @@ def digit_word(w: str) -> bool:
     return sum(c.isalpha() for c in w) >= 2 and any(c in "015689" for c in w) and not _FOLIO.fullmatch(w) and ":" not in w
 
 
-def ends(tokens: list[list[tuple]]):
-    """(line, next line, last word, mark, first word of the next line) for each line that has a next one."""
-    last = None
-    for i, ts in enumerate(tokens):
-        if not ts:
-            continue
-        if last is not None:
-            w, mark, first = tokens[last][-1][0], tokens[last][-1][1], ts[0][0]
-            if mark != "." and w and first and w[-1].isalpha() and first[0].isalpha():
-                yield last, i, w, mark, first
-        last = i
-
-
 def runs_on(last: str, mark: str, first: str, n_last: int, n_first: int, n_joined: int, n_hung: int) -> bool:
     """Whether ``last`` at a line's end runs on in ``first``.  The counts are of whole words in the corpus;
     ``n_hung``: how often ``last`` stands with a hyphen inside a line, as in 'winter- and summer'."""
