@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from vellum.llm import bigru, language, leakage, lookalikes, mixing, pagelib, quality, repair, repetition, spam
+from vellum.llm import bigru, language, leakage, lookalikes, mixing, pagelib, pages, quality, repair, repetition, spam
 from vellum.llm.queries import queries
 from vellum.llm.textnorm import skeleton
 
@@ -23,6 +23,11 @@ def lines(page, texts, volume=1, at="2024-01-01"):
     return [{"line_uid": page * 1000 + i, "page_id": page, "volume_id": volume, "line_pos": i, "text": x, "recognised_at": t} for i, x in enumerate(texts)]
 
 
+def abc(n):
+    """A word of letters for a number."""
+    return "".join("abcdefghij"[int(c)] for c in str(n))
+
+
 def pages_of(rows):
     return [{"page_id": p, "volume_id": v} for p, v in {(r.get("page_id"), r.get("volume_id")) for r in rows} if p is not None]
 
@@ -47,12 +52,23 @@ def test_look_alike_pairs(spark, write_tables):
 
 
 def test_many_copies_keep_their_links(spark, write_tables, monkeypatch):
-    monkeypatch.setattr(lookalikes, "PAIRED_COPIES", 3)
+    monkeypatch.setattr(lookalikes, "PAIRED", 3)
     rows = [{**r, "line_uid": r["line_uid"]} for p in range(8) for r in lines(p, ["the same text for all of us"])] + lines(99, ["the sаme text for all of us"])
     got = lookalikes.p5_found(spark, write_tables(line_texts=rows)).collect()
     assert {r.uid_a for r in got} | {r.uid_b for r in got} >= {p * 1000 for p in range(8)} | {99000}
 
 
+def test_many_spellings_give_a_row_a_line(spark, write_tables):
+    marks = ["".join("\u200b" if k >> b & 1 else "" for b in range(9)) for k in range(200)]
+    texts = [f"the same text{'\u200b' * k} for all of us" for k in range(len(marks))]
+    got = lookalikes.p5_found(spark, write_tables(line_texts=lines(1, texts))).collect()
+    assert len(got) <= len(texts) and {u for r in got for u in r} == {1000 + k for k in range(len(texts))}
+    to = {1000: {1000}}
+    for a, b in sorted(map(tuple, got)):
+        to.setdefault(a, {a}).add(b)
+    assert to[1000] == {1000 + k for k in range(len(texts))}
+
+
 # ---------------------------------------------------------------- pages
 def test_repeated_share():
     ws = "a b c d".split() * 5 + [f"w{i}" for i in range(20)]
@@ -88,7 +104,7 @@ def test_corrections():
 
 def test_noise_and_reflow(spark, write_tables):
     who = "smith miller tailor sailor judge priest soldier widow maid servant bailiff sexton".split()
-    body = [[f"the {w} walked to the village", f"and {w} walked out, so the vil-", "lage was old. The farmer", "walked in the village winter-", "and summer time.", f"{p}"] for p, w in enumerate(who)]
+    body = [[f"the {w} walked to the village", f"and {w} walked out, so the vil-", "lage was old. The farmer", "walked in the village winter-", f"and summer of {w}.", f"{p}"] for p, w in enumerate(who)]
     body[3][0] = "the sailor walkcd to the village"
     rows = [x for p, b in enumerate(body) for x in lines(p, b)]
     extra = lines(0, ["older"], at="2020-01-01")
@@ -96,7 +112,7 @@ def test_noise_and_reflow(spark, write_tables):
     got = {tuple(r) for r in repair.p6_found(spark, d).collect()}
     assert got == {(p, 5, "furniture") for p in range(12)} | {(p, 1, "hyphen") for p in range(12)} | {(3, 0, "misread")}
     text = repair.p6_paragraphs(spark, d).filter("page_id = 3").orderBy("para_no").first().text
-    assert text == "the sailor walked to the village and sailor walked out, so the village was old. The farmer walked in the village winter- and summer time."
+    assert text == "the sailor walked to the village and sailor walked out, so the village was old. The farmer walked in the village winter- and summer of sailor."
 
 
 def test_exact_ranks(spark):
@@ -117,7 +133,20 @@ def test_common_kinds_are_found(spark, write_tables):
     rows = [x for p, texts in enumerate(prose + listed + tables) for x in lines(p, texts)]
     d = write_tables(line_texts=rows, pages=pages_of(rows))
     assert {tuple(r) for r in quality.p4_found(spark, d).collect()} == {(p, "list") for p in range(10, 20)} | {(p, "table") for p in range(20, 30)}
-    assert {"score", "score_all"} <= set(quality.p4_statistics(spark, d).columns)
+    assert {"junk_score", "table_score", "list_score"} <= set(quality.p4_statistics(spark, d).columns)
+
+
+def test_the_verdict_comes_from_the_ranks(spark, small, monkeypatch):
+    assert quality.p4_found(spark, small).count() > 0
+    # without the tails nothing is out of the ordinary
+    monkeypatch.setattr(quality, "tail_scores", lambda stats: stats.select("page_id", *(F.lit(0.0).alias(f"{s}_{x}") for s in quality.RANKED for x in ("low", "high"))))
+    assert quality.p4_found(spark, small).count() == 0
+
+
+def test_ranks_count_reference_rows_only(spark):
+    rows = [("a", "s", float(v), v % 2 == 0) for v in range(10)]
+    got = {r.value: (r.below, r.upto, r.total) for r in quality.exact_ranks(spark.createDataFrame(rows, "grp STRING, stat STRING, value DOUBLE, ref BOOLEAN")).collect()}
+    assert got == {float(v): ((v + 1) // 2, v // 2 + 1, 5) for v in range(10)}
 
 
 # ---------------------------------------------------------------- language
@@ -182,36 +211,64 @@ def test_held_out_language_accuracy(spark, small):
 
 
 # ---------------------------------------------------------------- leakage
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.lists(st.sampled_from("abcd"), max_size=60), min_size=1, max_size=6), st.lists(st.lists(st.sampled_from("abcde"), max_size=50), min_size=1, max_size=5))
-def test_matches_against_brute_force(docs, items):
-    long = [x * 3 for x in items]  # lines of copies
-    rows = [(i, " ".join(x)) for i, x in enumerate(long)]
-    q = leakage.Items(rows)
-    texts = [" ".join(d * 2) for d in docs]
-    got = {(d, i): n for d, i, n, _, _ in q.matches(list(range(len(texts))), texts)}
-    want = {}
-    for d, t in enumerate(texts):
-        w = t.split()
-        for i, x in enumerate(long):
-            best = 0
-            for a in range(len(w)):
-                for b in range(len(x)):
-                    n = 0
-                    while a + n < len(w) and b + n < len(x) and w[a + n] == x[b + n]:
-                        n += 1
-                    best = max(best, n)
-            if best >= leakage.MATCH:
-                want[d, i] = best
-    assert got == want
+def brute_leaks(docs, items):
+    out = {}
+    for d, t in docs:
+        runs = leakage.runs(t)
+        s, ends = "".join(runs), np.cumsum([len(r) for r in runs]).tolist()
+        begins, ends = {0, *ends}, set(ends)
+        for i, u in items:
+            x, b, e = leakage.item_words(u)
+            for k in range(len(b)):
+                for m in range(k + leakage.MATCH - 1, len(b)):
+                    part, at = x[b[k] : e[m]], -1
+                    while (at := s.find(part, at + 1)) >= 0:
+                        if at in begins and at + len(part) in ends:
+                            out[d, i] = max(out.get((d, i), 0), m - k + 1)
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 1 << 30))
+def test_matches_against_brute_force(seed):
+    r = random.Random(seed)
+    some = lambda n: [r.choice("a b ab ba abc c cab bc".split()) for _ in range(n)]
+    items = [(i, " ".join(some(r.randint(5, 40)))) for i in range(4)]
+    docs = []
+    for d in range(5):
+        words = some(r.randint(0, 20))
+        for _ in range(r.randint(0, 3)):
+            own = r.choice(items)[1].split()
+            words += own[(a := r.randint(0, len(own) - 1)) : a + r.randint(5, 20)] + some(r.randint(0, 3))
+        docs.append((d, "".join(w + r.choice([" ", " ", ", ", "-\n", "—", "/", ""]) for w in words)))
+    docs = [(d, t) for d, t in docs if t]
+    runs = [leakage.runs(t) for _, t in docs]
+    got = leakage.Items(items).matches([d for d, _ in docs], ["".join(x) for x in runs], [np.array([len(y) for y in x]) for x in runs])
+    assert {(d, i): n for d, i, n, _, _ in got} == brute_leaks(docs, items)
 
 
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(2)
     c = np.concatenate([rng.integers(-1, 4, 3000), [-1] * 16]).astype(np.int32)
-    at = leakage.suffix_array(c)
-    keys = [tuple(c[a : a + leakage.MATCH]) for a in at]
-    assert keys == sorted(keys) and all(min(k) > 0 for k in keys)
+    at = leakage.suffix_array(c, np.arange(3000), 13)
+    keys = [tuple(c[a : a + 13]) for a in at]
+    assert keys == sorted(keys) and all(min(k) > 0 for k in keys) and len(keys) == sum(min(c[a : a + 13]) > 0 for a in range(3000))
+
+
+@pytest.mark.parametrize("joint", [",", "—", "/", " ", "-\n", "¬\n"])
+def test_punctuation_spacing_and_cut_words_on_either_side(spark, write_tables, joint):
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen village".split()
+    plain, broken = " ".join(words), joint.join(words[:-1]) + " vil-\nlage"
+    d = write_tables(documents=[{"doc_id": 1, "text": plain}, {"doc_id": 2, "text": broken}, {"doc_id": 3, "text": " ".join(words[2:])}], benchmark=[{"item_id": 7, "text": broken}, {"item_id": 8, "text": plain}])
+    want = {(1, 8, 14), (2, 8, 14)} | ({(1, 7, 15), (2, 7, 15)} if joint == " " else set())
+    assert {tuple(r)[:3] for r in leakage.p7_matches(spark, d).collect()} >= want
+
+
+def test_items_in_parts(spark, write_tables, monkeypatch):
+    monkeypatch.setattr(leakage, "ITEM_LETTERS", 50)
+    item = "One two three four five six seven eight nine ten eleven twelve thirteen number"
+    d = write_tables(documents=[{"doc_id": k, "text": f"{item}{k}."} for k in range(4)], benchmark=[{"item_id": k, "text": f"{item}{k}"} for k in range(4)])
+    assert {tuple(r)[:3] for r in leakage.p7_matches(spark, d).collect()} == {(a, b, 14 if a == b else 13) for a in range(4) for b in range(4)}
 
 
 def test_leaks(spark, write_tables):
@@ -229,28 +286,47 @@ def test_permutation(n, key):
     assert sorted(mixing.permute(np.arange(n), n, key).tolist()) == list(range(n))
 
 
-def test_shards_add_up():
-    m = mixing.draw_shards([5000, 300, 0, 12])
-    assert m.sum(axis=0).tolist() == [5000, 300, 0, 12] and len(m) == math.ceil(5312 / mixing.SHARD_BLOCKS) and (m >= 0).all()
+@pytest.mark.parametrize("counts", [[5000, 300, 0, 12], [3], [10**12, 5 * 10**11, 7]])
+def test_shards_add_up(counts):
+    tree = mixing.Shards(counts)
+    assert tree.shards == math.ceil(sum(counts) / mixing.SHARD_BLOCKS)
+    at = np.zeros(len(counts), dtype=np.int64)
+    for k in range(min(tree.shards, 50)):
+        drawn, first = tree.of(k)
+        assert drawn.sum() == (mixing.SHARD_BLOCKS if k < tree.shards - 1 else sum(counts) - (tree.shards - 1) * mixing.SHARD_BLOCKS) and (drawn >= 0).all() and (first == at).all()
+        at += drawn
+    if tree.shards <= 50:
+        assert at.tolist() == counts
+    # a shard's counts don't depend on which shards were asked for before
+    last = tree.shards - 1
+    assert all((a == b).all() for a, b in zip(mixing.Shards(counts).of(last), tree.of(last)))
+
+
+def test_draws_are_multinomial():
+    tree = mixing.Shards([60_000, 30_000, 10_000])
+    drawn = np.array([tree.of(k)[0] for k in range(tree.shards - 1)])
+    want = mixing.SHARD_BLOCKS * np.array([0.6, 0.3, 0.1])
+    assert np.abs(drawn.mean(axis=0) - want).max() < 8 and 0.5 < drawn[:, 0].var() / (want[0] * 0.4) < 1.6
 
 
 def test_mix(spark, write_tables):
-    docs = [{"doc_id": i, "text": f"word{i} is here " * 90, "source": s} for i, s in enumerate([" A "] * 60 + ["b"] * 25 + [None, "zz"])] + [{"doc_id": 990, "text": None, "source": "a"}, {"doc_id": 991, "text": "", "source": "b"}]
-    targets = [{"source": "a", "target_share": 0.5, "max_repeats": 1}, {"source": "b", "target_share": 0.4, "max_repeats": 3}, {"source": "none", "target_share": 0.1, "max_repeats": 2}]
+    docs = [{"doc_id": i, "text": f"word{i} is here " * 90, "source": s} for i, s in enumerate([" A "] * 60 + ["b"] * 25 + ["c"] + [None, "zz"])] + [{"doc_id": 990, "text": None, "source": "a"}, {"doc_id": 991, "text": "", "source": "b"}]
+    targets = [{"source": "a", "target_share": 0.5, "max_repeats": 1}, {"source": "b", "target_share": 0.3, "max_repeats": 3}, {"source": "c", "target_share": 0.1, "max_repeats": 3}, {"source": "none", "target_share": 0.1, "max_repeats": 2}]
     d = write_tables(documents=docs, mix_targets=targets)
     got = {r.source: r for r in mixing.p8_shares(spark, d).collect()}
     assert got["none"].tokens == 0 and got["a"].most_used == 1 and got["b"].most_used <= 3
-    assert got["a"].share == pytest.approx(5 / 9, abs=0.02) and got["b"].share == pytest.approx(4 / 9, abs=0.02)
-    mix = mixing.p8_mix(spark, d)
-    per = mix.groupBy("shard", "slot_key", "source", "block").agg(F.sum("n_tokens").alias("n")).select("n").distinct().collect()
-    assert [r.n for r in per] == [mixing.BLOCK]
+    assert got["a"].budget_share == pytest.approx(0.5, abs=0.02) and got["b"].budget_share == pytest.approx(0.3, abs=0.02)
+    # a source under a block takes part; it falls short of its share, used as often as it may
+    assert 0 < got["c"].tokens_available < mixing.BLOCK and got["c"].tokens == 3 * got["c"].tokens_available and got["c"].most_used == 3
+    mix = mixing.p8_mix(spark, d, budget=8000)
+    assert mix.agg(F.sum("n_tokens")).first()[0] == pytest.approx(0.8 * 8000 + got["c"].tokens, abs=2 * mixing.BLOCK)
     assert mix.groupBy("doc_id", "from_token").count().agg(F.max("count")).first()[0] <= 3
 
 
 def test_mix_carries_its_tokens(spark, write_tables):
     docs = [{"doc_id": i, "text": f"word{i} is here " * (90 + i), "source": "a"} for i in range(30)]
     docs += [docs[3], {**docs[4], "text": "other text " * 200}, {"doc_id": 99, "text": "", "source": "a"}, {"doc_id": 98, "source": "a"}]
-    d = write_tables(documents=docs, mix_targets=[{"source": "a", "target_share": 1.0, "max_repeats": 2}])
+    d = write_tables(documents=docs, mix_targets=[{"source": "a", "target_share": 1.0, "max_repeats": 1}])
     encode = mixing._encoding(mixing.TOKENIZER).encode_ordinary
     ids = {}
     for x in docs:
@@ -260,7 +336,8 @@ def test_mix_carries_its_tokens(spark, write_tables):
     place = lambda r: (r.shard, r.slot_key, r.source, r.block, r["pass"], r.at_token, r.doc_id, r.from_token, r.n_tokens)
     assert sorted(map(place, mix)) == sorted(map(place, mixing.p8_pointers(spark, d).collect()))
     blocks = mixing.p8_blocks(spark, d).collect()
-    assert {len(r.tokens) for r in blocks} == {mixing.BLOCK} and len(blocks) == 2 * (sum(len(t) for ts in ids.values() for t in ts) // mixing.BLOCK)
+    total = sum(len(t) for ts in ids.values() for t in ts)
+    assert sorted(len(r.tokens) for r in blocks)[1:] == [mixing.BLOCK] * (total // mixing.BLOCK) and sum(len(r.tokens) for r in blocks) == total
 
 
 # ---------------------------------------------------------------- spam
@@ -277,6 +354,41 @@ def test_spam(spark, write_tables):
     assert {r.doc_id for r in spam.p9_found(spark, d).collect()} == set(range(9))
 
 
+def test_replication_finds_and_acquits(spark, write_tables):
+    rng = random.Random(7)
+    word = lambda k: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(k))
+    sale = [word(3) for _ in range(6)]
+    # a third strung keywords, the rest phrases that stand on other hosts as well
+    shared = "\n".join(f"Then the {' '.join(word(4) for _ in range(4))} was in the {word(4)}." for _ in range(28))
+    strung = " » ".join(f"{rng.choice(sale)} {rng.choice(sale)}" for _ in range(60))
+    stitched = [f"{strung}\n{shared}" for _ in range(3)]
+    # three fifths strung, but of words of its own
+    own = lambda n: " ".join(word(4) for _ in range(n))
+    alone = "\n".join([" » ".join(own(2) for _ in range(44)), *(f"Then the {own(3)} was in the {own(2)}." for _ in range(10))])
+    texts = [*stitched, alone]
+    d = write_tables(documents=[{"doc_id": i, "text": t, "source": "s", "volume_id": i} for i, t in enumerate(texts)])
+    scores = {r.doc_id: r for r in spam.p9_scores(spark, d).collect()}
+    assert all(0.25 < scores[i].dense < 0.5 and scores[i].replicated > 0.9 for i in range(3)) and 0.5 < scores[3].dense < 0.75 and scores[3].replicated == 0
+    assert {r.doc_id for r in spam.p9_found(spark, d).collect()} == {0, 1, 2}
+    # the same pages on one host: nothing stands elsewhere
+    d = write_tables(documents=[{"doc_id": i, "text": t, "source": "s", "volume_id": 1} for i, t in enumerate(texts)])
+    assert spam.p9_found(spark, d).count() == 0
+
+
+def test_scores_against_brute_force(spark, write_tables, monkeypatch):
+    monkeypatch.setattr(spam, "CHUNK_CHARS", 300)
+    rng = random.Random(1)
+    docs = [{"doc_id": i, "text": " ".join(rng.choice("abcdefg") * 2 for _ in range(rng.randint(1, 40))), "source": "s", "volume_id": rng.choice([1, 2, 3, None])} for i in range(60)]
+    hosts: dict = {}
+    sh = {x["doc_id"]: spam.read_document(x["text"])[1].tolist() for x in docs}
+    for x in docs:
+        for h in sh[x["doc_id"]]:
+            hosts.setdefault(h, set()).add(x["volume_id"] or x["text"])
+    got = {r.doc_id: (r.shingles, r.replicated) for r in spam.p9_scores(spark, write_tables(documents=docs)).collect()}
+    want = {i: (len(h), sum(len(hosts[x]) > 1 for x in h) / max(1, len(h))) for i, h in sh.items()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+
+
 def test_shingles_are_sets():
     a, b = np.array([1, 2, 1, 3, 2], dtype=np.uint64), np.array([3, 3, 2, 1, 1], dtype=np.uint64)
     assert spam.shingles(a) == spam.shingles(b) and len(spam.shingles(np.arange(9, dtype=np.uint64))) == 5
@@ -306,6 +418,27 @@ def test_empty_and_awkward_tables(spark, empty, awkward, name):
     QUERIES[name](spark, awkward).collect()
 
 
+def test_line_frequency_decides(spark, write_tables, monkeypatch):
+    # a volume's formula fills a third of every page, four times each: it is the volume's, not the page's
+    formula = "given under our hand and seal"
+    rows = [x for p in range(6) for x in lines(p, [*[formula, f"then {abc(p)} came of men to town"] * 4, *(f"{abc(p)}x{abc(k)} {abc(p)}y{abc(k)}" for k in range(4))])]
+    d = write_tables(line_texts=rows, pages=pages_of(rows))
+    got = {r.page_id: r for r in repetition.page_repetition(spark, d).collect()}
+    assert all(r.n_removed == 4 and r.repeated_share > 0.5 and not r.emptied for r in got.values())
+    # a page with the formula alone as repetition
+    rows = [x for p in range(6) for x in lines(p, [*[y for k in range(4) for y in (formula, f"{abc(p)}u{abc(k)} {abc(p)}v{abc(k)}")], *(f"{abc(p)}x{abc(k)} {abc(p)}y{abc(k)}" for k in range(4))])]
+    d = write_tables(line_texts=rows, pages=pages_of(rows))
+    assert repetition.p1_found(spark, d).count() == 0
+    monkeypatch.setattr(pages, "HEADER_PAGES", 1000)
+    assert {r.page_id for r in repetition.p1_found(spark, d).collect()} == set(range(6))
+
+
+def test_all_lines_are_counted(spark, write_tables):
+    rows = [x for p in range(5) for x in lines(p, ["one two", *[f"a{abc(p)}{abc(k)} b" for k in range(6)], "the common foot line 3"])]
+    df = spark.read.parquet(write_tables(line_texts=rows) + "/line_texts.parquet")
+    assert {r.key for r in pages.frequent_lines(df).collect()} == {"one two", "the common foot line"}
+
+
 def test_repetitive_page_of_awkward_tables(spark, awkward):
     assert {r.page_id for r in repetition.p1_found(spark, awkward).collect()} == {1, 2}
 

@@ -11,6 +11,7 @@ stretch; without any labelled page nothing can be trained and there are no rows.
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -30,7 +31,7 @@ SAMPLE_PAGES, SAMPLE_LINES = 120, 1200
 HIDDEN, STEPS, AGAIN = 10, 400, 250
 LEAST = 5  # lines of a stretch, unless it is the page
 SWITCH = 6.0  # what a change of language costs, in units of a line's log-probability
-SURE = 0.65  # confidence below which a page isn't split, nor a label called wrong
+SURE = 0.65  # confidence below which a stretch goes to its neighbour, and a label isn't called wrong
 BUFFERED = 8192  # lines labelled at once
 _TWO_LETTERS = re.compile(r"[^\W\d_]{2}")
 _DDL = "page_id BIGINT, page_lines INT, page_kind STRING, first_pos INT, n_lines INT, lang STRING, confidence DOUBLE, n_stretches INT"
@@ -54,6 +55,11 @@ def fold(text: str) -> str:
     return " ".join(t for t in skeleton(text).lower().split() if _TWO_LETTERS.search(t))
 
 
+@functools.lru_cache(maxsize=4)
+def _trained(sample: tuple[tuple[str, str], ...]) -> BiGRU:
+    return train([t for _, t in sample], [y for y, _ in sample])
+
+
 def train(texts: list[str], labels: list[str], seed: int = 1) -> BiGRU:
     """The network of one training sample; the same sample in any order of rows gives the same network."""
     pairs = sorted(zip(labels, map(fold, texts)))
@@ -79,7 +85,24 @@ def stretches(logp: np.ndarray, weight: np.ndarray) -> list[tuple[int, int, int,
     if n >= 2 * LEAST and doubt >= 3:
         cuts = _viterbi(e)
     found = [_confident(logp, weight, *cut) for cut in cuts]
-    return found if min(c for *_, c in found) >= SURE or len(found) == 1 else [_confident(logp, weight, 0, n, top)]
+    while len(found) > 1 and min(c for *_, c in found) < SURE:
+        found = _merged(logp, weight, found, min(range(len(found)), key=lambda k: found[k][3]))
+    return found
+
+
+def _merged(logp: np.ndarray, weight: np.ndarray, found: list[tuple[int, int, int, float]], k: int) -> list[tuple[int, int, int, float]]:
+    """``found`` with the doubtful stretch ``k`` given to the neighbour whose language fits its lines better."""
+    a, b, *_ = found[k]
+    fit = (logp[a:b] * weight[a:b, None]).sum(axis=0)
+    to = max((j for j in (k - 1, k + 1) if 0 <= j < len(found)), key=lambda j: fit[found[j][2]])
+    out: list[tuple[int, int, int]] = []
+    for j, (first, end, lang, _) in enumerate(found):
+        lang = found[to][2] if j == k else lang
+        if out and out[-1][2] == lang:
+            out[-1] = (out[-1][0], end, lang)
+        else:
+            out.append((first, end, lang))
+    return [_confident(logp, weight, *cut) for cut in out]
 
 
 def _confident(logp: np.ndarray, weight: np.ndarray, a: int, b: int, lang: int) -> tuple[int, int, int, float]:
@@ -157,7 +180,7 @@ def p2_segments(spark: SparkSession, data_dir: str) -> DataFrame:
     sample = training_lines(spark, data_dir).collect()  # bounded: SAMPLE_LINES a language
     if not sample:
         return spark.createDataFrame([], _DDL)
-    net = train([r.text for r in sample], [r.label for r in sample])
+    net = _trained(tuple(sorted((r.label, r.text) for r in sample)))  # the same sample is trained on once
     return sorted_pages(page_lines(spark, data_dir)).mapInArrow(map_rows(_label(net), _DDL), _DDL)
 
 

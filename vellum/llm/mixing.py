@@ -114,13 +114,12 @@ def plan(available: dict[str, int], targets: list[tuple[str, float, int]], budge
 
 def split_counts(counts: np.ndarray, size: int, left: int, rng: np.random.Generator) -> np.ndarray:
     """The part of ``counts`` (summing to ``size``) that falls to the first ``left`` slots: binomial for each source,
-    the surplus or lack against ``left`` settled source by source in a random order."""
+    the surplus or lack against ``left`` taken from or given to all in proportion."""
     out = rng.binomial(counts, left / size) if size else np.zeros_like(counts)
-    over = int(out.sum()) - left
-    for k in rng.permutation(len(counts)).tolist():
-        move = min(over, int(out[k])) if over > 0 else -min(-over, int(counts[k] - out[k]))
-        out[k] -= move
-        over -= move
+    while over := int(out.sum()) - left:
+        room = out if over > 0 else counts - out
+        move = np.minimum(rng.multinomial(abs(over), room / room.sum()), room)
+        out = out - move if over > 0 else out + move
     return out
 
 
