@@ -6,7 +6,7 @@ page without any; a NULL text has length NULL and is left out of joined texts.""
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LONG = 100
@@ -28,8 +28,10 @@ def page_text(lines: DataFrame) -> DataFrame:
 
 
 def batches(lines: DataFrame, size: int) -> DataFrame:
-    """Lines with the number of the recognition batch they fall in: slices of ``size`` in order."""
-    return lines.withColumn("batch", F.floor(F.col("line_pos") / size).cast("int"))
+    """Lines with the number of the recognition batch they fall in: slices of ``size`` of the page's lines in order, all but
+    the last full, whatever places are missing."""
+    at = F.row_number().over(Window.partitionBy("page_id").orderBy("line_pos")) - 1
+    return lines.withColumn("batch", F.floor(at / size).cast("int"))
 
 
 def strip(text: Column) -> Column:
@@ -64,6 +66,16 @@ def printed(c: Column) -> Column:
     return fmt(c)
 
 
+def rounded(c: Column) -> Column:
+    """The value rounded to two decimals, correctly from its exact binary value, in its shortest notation ('0.3', '1.0')."""
+
+    @F.pandas_udf("string")
+    def fmt(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if pd.isna(x) else str(round(float(x), 2)))
+
+    return fmt(c)
+
+
 def format_2dp(values: DataFrame, column: str) -> DataFrame:
     """Adds ``column``_text: its two decimals as ``printed``."""
     return values.withColumn(f"{column}_text", printed(F.col(column)))

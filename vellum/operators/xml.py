@@ -6,15 +6,26 @@ texts and polygons become empty; a page without a region with lines gives no doc
 
 from __future__ import annotations
 
+import html
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions import geometry as G
-from vellum.operators.stats import printed, strip
+from vellum.operators.stats import printed, rounded, strip
 
 # Name spaces of the two formats.
 PAGE_NS = "http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15"
 ALTO_NS = "http://www.loc.gov/standards/alto/ns-v4#"
+ALTO_XSD = "http://www.loc.gov/standards/alto/v4/alto-4-0.xsd"
+XLINK_NS = "http://www.w3.org/1999/xlink"
+XSI_NS = "http://www.w3.org/2001/XMLSchema-instance"
+#: (id, what it does, software's creator, software's name) of the three steps.
+SOFTWARE = (
+    ("TEXT_REGION_SEGMENTATION", "Regions from masks", "plug-in", "detector"),
+    ("TEXT_LINE_SEGMENTATION", "Lines from masks", "plug-in", "detector"),
+    ("TEXT_RECOGNITION", "Texts from line images", "plug-in", "recogniser"),
+)
 DECLARATION = '<?xml version="1.0" encoding="UTF-8"?>\n'
 
 
@@ -65,24 +76,31 @@ def two_decimals(c: Column) -> Column:
     return printed(F.coalesce(c, F.lit(0.0)))
 
 
-def alto_xml(pages: DataFrame, regions: DataFrame, lines: DataFrame, models: tuple[str, str, str] = ("regions", "lines", "text"), agency: str = "vellum") -> DataFrame:
+def processing_steps(models: tuple[str, str, str], agency: str, software: tuple = SOFTWARE) -> str:
+    """The header's elements on the three steps."""
+    one = (
+        '<Processing ID="{}"><processingAgency>{}</processingAgency><processingStepDescription>{}</processingStepDescription><processingSoftware>'
+        "<softwareCreator>{}</softwareCreator><softwareName>{}</softwareName><softwareVersion>{}</softwareVersion></processingSoftware></Processing>"
+    )
+    return "".join(one.format(i, *map(html.escape, (agency, what, by, name, version))) for (i, what, by, name), version in zip(software, models))
+
+
+def alto_xml(pages: DataFrame, regions: DataFrame, lines: DataFrame, models: tuple[str, str, str] = ("regions", "lines", "text"), agency: str = "vellum", software: tuple = SOFTWARE) -> DataFrame:
     """page_id, xml in the ALTO format: page confidences, a block per region (xml_id), a String per line with its length
-    and confidence; a String has its line's id."""
+    and confidence; a String has its line's id.  ``models``: the versions of the three models; ``software``: what
+    each step does, and the creator and name of its software."""
     lid = F.concat(F.col("block_id"), F.lit("_line_"), F.col("line_ord").cast("string"))
     named = lines.join(regions.select("page_id", "region_ord", F.col("xml_id").alias("block_id")), ["page_id", "region_ord"])
     line = F.concat(
         F.lit('<TextLine ID="'), escape(lid), F.lit('"><Shape><Polygon POINTS="'), _points("polygon", True), F.lit('"/></Shape><String ID="'), escape(lid), F.lit('" CONTENT="'), escape(F.col("text")),
-        F.lit('" RL="'), escape(F.col("row_length")), F.lit('" WC="'), escape(F.round("text_conf", 2)), F.lit('"/></TextLine>'),
+        F.lit('" RL="'), escape(F.col("row_length")), F.lit('" WC="'), escape(rounded(F.col("text_conf"))), F.lit('"/></TextLine>'),
     )
     head = F.concat(F.lit('<TextBlock ID="'), escape(F.col("xml_id")), F.lit('"><Shape><Polygon POINTS="'), _points("coords", True), F.lit('"/></Shape>'))
     body = _gather(named, regions, line, head, "</TextBlock>")
-    steps = "".join(
-        f'<Processing ID="{i}"><processingAgency>{agency}</processingAgency><processingStepDescription>{d}</processingStepDescription><processingSoftware><softwareName>{m}</softwareName></processingSoftware></Processing>'
-        for i, d, m in zip(("TEXT_REGION_SEGMENTATION", "TEXT_LINE_SEGMENTATION", "TEXT_RECOGNITION"), ("Text region detection", "Text line detection", "Handwritten text recognition"), models)
-    )
+    steps = processing_steps(models, agency, software)
     attr = lambda name, c: F.concat(F.lit(f' {name}="'), c, F.lit('"'))
     xml = F.concat(
-        F.lit(f'{DECLARATION}<alto xmlns="{ALTO_NS}"><Description><MeasurementUnit>mm10</MeasurementUnit><sourceImageInformation><fileName>'), escape(F.col("img_name")), F.lit(f"</fileName></sourceImageInformation>{steps}</Description><Styles/><Layout><Page"),
+        F.lit(f'{DECLARATION}<alto xmlns="{ALTO_NS}" xmlns:xlink="{XLINK_NS}" xmlns:xsi="{XSI_NS}" xsi:schemaLocation="{ALTO_NS} {ALTO_XSD}"><Description><MeasurementUnit>mm10</MeasurementUnit><sourceImageInformation><fileName>'), escape(F.col("img_name")), F.lit(f"</fileName></sourceImageInformation>{steps}</Description><Styles/><Layout><Page"),
         attr("ID", escape(F.col("img_name"))), attr("WIDTH", escape(F.col("width"))), attr("HEIGHT", escape(F.col("height"))),
         *[attr(n, two_decimals(F.col(c))) for n, c in (("PC", "page_conf_mean"), ("PC50", "page_conf_median"), ("PC25", "page_conf_25"), ("PC75", "page_conf_75"))],
         attr("N_LONG_ROWTEXT", escape(F.col("n_long_rowtext"))), attr("LANGUAGE", escape(F.col("language"))), F.lit(' PHYSICAL_IMG_NR="0"><PrintSpace HPOS="0" VPOS="0"'),

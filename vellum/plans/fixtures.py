@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import geometry as G
-from vellum.sources.tables import current_rows, table
+from vellum.sources.tables import checkpoint, current_rows, table
 
 _ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
 
@@ -24,12 +24,21 @@ def detections(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def pinned(spark: SparkSession, d: str) -> DataFrame:
+    """The detections, numbered once: what is partitioned by page stays so, and later steps by page need no shuffle."""
+    return checkpoint(detections(spark, d))
+
+
 def lines(spark: SparkSession, d: str) -> DataFrame:
     return detections(spark, d).filter("class_id >= 2")
 
 
 def line_boxes(spark: SparkSession, d: str) -> DataFrame:
-    return lines(spark, d).select("page_id", F.col("det_id").alias("line_id"), "box", "text_conf")
+    return lines_of(detections(spark, d))
+
+
+def lines_of(found: DataFrame) -> DataFrame:
+    return found.filter("class_id >= 2").select("page_id", F.col("det_id").alias("line_id"), "box", "text_conf")
 
 
 def order_boxes(spark: SparkSession, d: str) -> DataFrame:
@@ -38,7 +47,11 @@ def order_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 def region_boxes(spark: SparkSession, d: str) -> DataFrame:
     """page_id, region_id, region_pos, box of the region detections."""
-    return detections(spark, d).filter("class_id = 1").select("page_id", F.col("det_id").cast("string").alias("region_id"), F.col("det_id").alias("region_pos"), "box", "confidence")
+    return regions_of(detections(spark, d))
+
+
+def regions_of(found: DataFrame) -> DataFrame:
+    return found.filter("class_id = 1").select("page_id", F.col("det_id").cast("string").alias("region_id"), F.col("det_id").alias("region_pos"), "box", "confidence")
 
 
 def staircase(spark: SparkSession, d: str) -> DataFrame:

@@ -100,6 +100,10 @@ _MOVED = "mv as (select page_id, det_id, det_id % 4 as tile_id, x0 + (det_id % 4
 _PTS = "array_to_string(list_transform(coords, lambda p: concat(p.x, ',', p.y)), ' ')"
 
 
+def _rounded(c: str) -> str:
+    return f"cast(cast(printf('%.2f', {c}) as double) as varchar)"
+
+
 def _esc(c: str) -> str:
     return f"replace(replace(replace(replace(coalesce({c}::varchar, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
 
@@ -118,16 +122,58 @@ _PAGE_XML = f"""with {_CUR}, {_NAMED}, {_LINED},
 lx as (select page_id, region_ord, string_agg(concat('<TextLine id="r', region_ord, 'l', line_ord, '" custom="readingOrder {{index:', line_ord, ';}}"><Coords points="', {_pointlist('polygon')}, '"/><Baseline points=""/><TextEquiv><Unicode>', {_esc(_STRIP)}, '</Unicode></TextEquiv></TextLine>'), '' order by line_ord) as x from ln group by 1, 2),
 rx as (select i.page_id, string_agg(concat('<TextRegion id="r', i.region_ord, '" custom="readingOrder {{index:', i.region_ord, ';}}"><Coords points="', {_pointlist('coords')}, '"/>', lx.x, '</TextRegion>'), '' order by i.region_ord) as x from ids i join lx on i.page_id = lx.page_id and i.region_ord = lx.region_ord group by 1)
 select p.page_id, concat('{_DECL}', chr(10), '<PcGts xmlns="http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15"><Metadata><Creator>vellum</Creator><Created>2024-01-01T00:00:00.000000+02:00</Created><LastChange>2024-01-01T00:00:00.000000+02:00</LastChange></Metadata><Page imageFilename="', {_esc('img_name')}, '" imageWidth="', width, '" imageHeight="', height, '">', rx.x, '</Page></PcGts>') as xml from pages p join rx on p.page_id = rx.page_id"""
-_STEPS = "".join(f"<Processing ID=\"{i}\"><processingAgency>vellum</processingAgency><processingStepDescription>{d}</processingStepDescription><processingSoftware><softwareName>{m}</softwareName></processingSoftware></Processing>" for i, d, m in (("TEXT_REGION_SEGMENTATION", "Text region detection", "regions"), ("TEXT_LINE_SEGMENTATION", "Text line detection", "lines"), ("TEXT_RECOGNITION", "Handwritten text recognition", "text")))
+_STEPS = "".join(
+    f'<Processing ID="{i}"><processingAgency>vellum</processingAgency><processingStepDescription>{what}</processingStepDescription><processingSoftware><softwareCreator>plug-in</softwareCreator>'
+    f"<softwareName>{name}</softwareName><softwareVersion>{version}</softwareVersion></processingSoftware></Processing>"
+    for i, what, name, version in (
+        ("TEXT_REGION_SEGMENTATION", "Regions from masks", "detector", "regions"), ("TEXT_LINE_SEGMENTATION", "Lines from masks", "detector", "lines"), ("TEXT_RECOGNITION", "Texts from line images", "recogniser", "text"),
+    )
+)
 _ALTO_XML = f"""with {_CUR}, {_NAMED}, {_LINED}, st as (select * from page_stats where page_id is not null qualify row_number() over (partition by page_id order by computed_at desc nulls last, img_name desc, height desc, width desc, page_conf_mean desc, page_conf_median desc, page_conf_25 desc, page_conf_75 desc, n_long_rowtext desc nulls last, language desc nulls last) = 1),
-lx as (select page_id, region_ord, string_agg(concat('<TextLine ID="', {_esc("concat(xml_id, '_line_', line_ord)")}, '"><Shape><Polygon POINTS="', {_pointlist('polygon', ' ')}, '"/></Shape><String ID="', {_esc("concat(xml_id, '_line_', line_ord)")}, '" CONTENT="', {_esc('text')}, '" RL="', {_esc('row_length')}, '" WC="', {_esc('round(text_conf, 2)')}, '"/></TextLine>'), '' order by line_ord) as x from ln group by 1, 2),
+lx as (select page_id, region_ord, string_agg(concat('<TextLine ID="', {_esc("concat(xml_id, '_line_', line_ord)")}, '"><Shape><Polygon POINTS="', {_pointlist('polygon', ' ')}, '"/></Shape><String ID="', {_esc("concat(xml_id, '_line_', line_ord)")}, '" CONTENT="', {_esc('text')}, '" RL="', {_esc('row_length')}, '" WC="', {_esc(_rounded('text_conf'))}, '"/></TextLine>'), '' order by line_ord) as x from ln group by 1, 2),
 rx as (select i.page_id, string_agg(concat('<TextBlock ID="', {_esc('xml_id')}, '"><Shape><Polygon POINTS="', {_pointlist('coords', ' ')}, '"/></Shape>', lx.x, '</TextBlock>'), '' order by i.region_ord) as x from ids i join lx on i.page_id = lx.page_id and i.region_ord = lx.region_ord group by 1)
-select p.page_id, concat('{_DECL}', chr(10), '<alto xmlns="http://www.loc.gov/standards/alto/ns-v4#"><Description><MeasurementUnit>mm10</MeasurementUnit><sourceImageInformation><fileName>', {_esc('p.img_name')}, '</fileName></sourceImageInformation>{_STEPS}</Description><Styles/><Layout><Page ID="', {_esc('p.img_name')}, '" WIDTH="', p.width, '" HEIGHT="', p.height,
-{", ".join(f"""'" {n}="', printf('%.2f', coalesce(round_even({c} * 4, 0) / 4, 0.0))""" for n, c in (("PC", "page_conf_mean"), ("PC50", "page_conf_median"), ("PC25", "page_conf_25"), ("PC75", "page_conf_75")))},
+select p.page_id, concat('{_DECL}', chr(10), '<alto xmlns="http://www.loc.gov/standards/alto/ns-v4#" xmlns:xlink="http://www.w3.org/1999/xlink" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://www.loc.gov/standards/alto/ns-v4# http://www.loc.gov/standards/alto/v4/alto-4-0.xsd"><Description><MeasurementUnit>mm10</MeasurementUnit><sourceImageInformation><fileName>', {_esc('p.img_name')}, '</fileName></sourceImageInformation>{_STEPS}</Description><Styles/><Layout><Page ID="', {_esc('p.img_name')}, '" WIDTH="', p.width, '" HEIGHT="', p.height,
+{", ".join(f"""'" {n}="', printf('%.2f', coalesce({c}, 0.0))""" for n, c in (("PC", "page_conf_mean"), ("PC50", "page_conf_median"), ("PC25", "page_conf_25"), ("PC75", "page_conf_75")))},
 '" N_LONG_ROWTEXT="', {_esc('n_long_rowtext')}, '" LANGUAGE="', {_esc('language')}, '" PHYSICAL_IMG_NR="0"><PrintSpace HPOS="0" VPOS="0" WIDTH="', p.width, '" HEIGHT="', p.height, '">', rx.x, '</PrintSpace></Page></Layout></alto>') as xml from pages p join st on p.page_id = st.page_id join rx on p.page_id = rx.page_id"""
 _STATS = "page_id, coalesce(avg(text_conf), 0.0) as m, coalesce(median(text_conf), 0.0) as md, coalesce(quantile_cont(text_conf, 0.25), 0.0) as q1, coalesce(quantile_cont(text_conf, 0.75), 0.0) as q3, count(*) filter (where length(text) > 100) as n_long_rowtext, count(*) as n_lines"
 
 
+# pages without a region have one of the whole page
+_WHOLE = "whole as (select page_id, region_id, det_id, x0, y0, x1, y1 from reg union all select distinct page_id, '0', 0, 0, 0, 2400, 3200 from lin where page_id not in (select page_id from reg))"
+
+
+def _peeled(name: str, source: str, keys: str, ident: str = "det_id") -> str:
+    """CTEs that order every group: next comes what all predecessors of went out, by the last of them, then by number; else
+    the topmost, leftmost box that is left.  ``name``: keys, list of ids in order."""
+    first = f"case when v.{ident} < u.{ident} then {_precedes('v', 'u')} when v.{ident} > u.{ident} then not {_precedes('u', 'v')} else false end"
+    on = " and ".join(f"u.{k.strip()} = v.{k.strip()}" for k in keys.split(","))
+    same = " and ".join(f"s.{k.strip()} = p.{k.strip()}" for k in keys.split(","))
+    own, state = ", ".join(f"u.{k.strip()}" for k in keys.split(",")), ", ".join(f"s.{k.strip()}" for k in keys.split(","))
+    ready = "list_has_all(s.o, p.before)"
+    key = f"case when {ready} then [0.0, coalesce(list_max(list_transform(p.before, lambda q: list_position(s.o, q))), 0)::double, p.id::double] else [1.0, p.y0::double, p.x0::double] end"
+    return f"""{name}_p as (select {own}, u.{ident} as id, u.x0, u.y0, coalesce(list(v.{ident}) filter (where {first}), []) as before from {source} u join {source} v on {on} group by {own}, u.{ident}, u.x0, u.y0),
+{name}_r as (select distinct {keys}, []::int[] as o, 0 as n from {source} union all select {state}, list_append(s.o, arg_min(p.id, {key})), s.n + 1 from {name}_r s join {name}_p p on {same} and not list_contains(s.o, p.id) group by {state}, s.o, s.n),
+{name}_l as (select {keys}, arg_max(o, n) as o from {name}_r group by {keys}),
+{name} as (select {keys}, unnest(o) as id, cast(generate_subscripts(o, 1) - 1 as int) as ord from {name}_l)"""
+
+
+def _order_regions() -> str:
+    assigned = _ASSIGN.replace("join reg b", "join whole b")
+    inside = "ins as (select l.*, a.region_id from lin l join asg a on l.page_id = a.page_id and l.det_id = a.line_id where a.region_id is not null)"
+    used = "used as (select * from whole w where exists (select 1 from ins i where i.page_id = w.page_id and i.region_id = w.region_id))"
+    return f"""with recursive {_DET}, {_WHOLE}, {assigned}, {inside}, {used}, {_peeled("lo", "ins", "page_id, region_id")}, {_peeled("ro", "used", "page_id")}
+select lo.page_id, lo.region_id, lo.id as line_id, ro.ord as region_ord, lo.ord as line_ord from lo join ro on lo.page_id = ro.page_id and lo.region_id = cast(ro.id as varchar)"""
+
+
+def _language_id() -> str:
+    from vellum.operators.stats import _WORDS
+
+    hits = ", ".join(f"sum(len(list_filter(w, lambda x: x in ({', '.join(repr(v) for v in words.split())})))) as {k}" for k, words in _WORDS.items())
+    long = " union all ".join(f"select page_id, {k} as n, '{k}' as k from h" for k in _WORDS)
+    return f"""with {_CUR}, t as (select page_id, regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}]+') as w from cur), h as (select page_id, {hits} from t group by 1), a as ({long}),
+b as (select * from a qualify row_number() over (partition by page_id order by n desc, k desc) = 1) select page_id, case when n > 0 then k else 'unknown' end as language from b"""
+
+
 def oracle_sql() -> dict[str, str]:
     box = lambda v: f"with {_DET} select a.page_id, a.det_id as i, b.det_id as j, round({v}, 9) as value from {_PAIRS}"
     merged = f"with recursive {_DET}, {_EDGE}, {_COMP}"
@@ -175,12 +221,15 @@ from asg a join o on a.page_id = o.page_id and a.line_id = o.det_id join lin l o
         "assign_regions": f"with {_DET}, {_ASSIGN} select * from asg",
         "region_line_join": f"with {_DET}, {_ASSIGN} select r.page_id, r.region_id, r.det_id as region_pos, a.line_id from reg r join asg a on r.page_id = a.page_id and r.region_id = a.region_id",
         "region_semi": f"with {_DET}, {_ASSIGN} select page_id, region_id, det_id as region_pos from reg r where exists (select 1 from asg a where r.page_id = a.page_id and r.region_id = a.region_id)",
+        "order_graph_cyclic": f"with recursive {_DET}, stairs as (select page_id, det_id, (20 - det_id) * 10 as x0, 4 * det_id as y0, (20 - det_id) * 10 + 50 as x1, 4 * det_id + 10 as y1 from det), {_peeled('og', 'stairs', 'page_id')} select page_id, id, ord from og",
+        "order_regions": _order_regions(), "language_id": _language_id(),
+        "xml_roundtrip_named": f"with {_CUR}, {_NAMED}, {_LINED} select page_id, concat('r', region_ord, 'l', line_ord) as line_id, concat('r', region_ord) as region_id, coalesce({_STRIP}, '') as text from ln",
         "order_graph_lr": f"with {_DET}, o as ({_ranked('lin', 'page_id', 'det_id')}) select page_id, det_id as id, ord from o",
         "order_graph_rl": f"with {_DET}, o as ({_ranked('lin', 'page_id', 'det_id', True)}) select page_id, det_id as id, ord from o",
         "order_center": f"with {_DET} select u.page_id, u.det_id as id, cast(sum(case when u.det_id <> v.det_id and (case when {_row('v', 'u')} then v.x0 + v.x1 < u.x0 + u.x1 else v.y0 + v.y1 < u.y0 + u.y1 end) then 1 else 0 end) as int) as before from lin u join lin v on u.page_id = v.page_id group by 1, 2",
         "partial_order_intended": _partial(False), "partial_order_compat": _partial(True),
-        "rec_batches": f"with {_CUR} select page_id, cast(line_pos // 8 as int) as batch, count(*) as n, min(line_pos) as first_pos from cur group by 1, 2",
-        "score_exp": "select distinct line_uid, round(exp(ln(text_conf)), 6) as score from line_texts",
+        "rec_batches": f"with {_CUR}, num as (select page_id, line_pos, (row_number() over (partition by page_id order by line_pos) - 1) // 8 as batch from cur) select page_id, cast(batch as int) as batch, count(*) as n, min(line_pos) as first_pos from num group by 1, 2",
+        "score_exp": f"with {_CUR} select page_id, line_pos, round(power(2.718281828459045::double, 10 * text_conf - 10), 9) as score from cur",
         "row_length": f"with {_CUR} select page_id, line_pos, cast(length(text) as int) as row_length from cur",
         "page_stats": f"with {_CUR}, s as (select {_STATS} from cur group by 1) select page_id, round(m, 9) as page_conf_mean, round(md, 9) as page_conf_median, round(q1, 9) as page_conf_25, round(q3, 9) as page_conf_75, n_long_rowtext, n_lines from s",
         "long_rows": f"with {_CUR} select page_id, count(*) as n_long_rowtext from cur where length(text) > 100 group by 1",

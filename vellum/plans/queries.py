@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import geometry as G
-from vellum.operators import assign, merge, nest, nested, order, stats, suppress, tiling, xml
+from vellum.operators import assign, filters, merge, nest, nested, order, stats, suppress, tiling, xml
 from vellum.plans import fixtures as fx
 from vellum.plans.oracles import oracle_sql  # noqa: F401
 from vellum.sources.tables import current_rows, table
@@ -46,21 +46,20 @@ def _all_pairs(value) -> Query:
 
 
 def _conf_filter(s, d):
-    return fx.detections(s, d).filter("confidence > 0.95").select("page_id", "det_id", "confidence")
+    return filters.confident(fx.detections(s, d), 0.95).select("page_id", "det_id", "confidence")
 
 
 def _class_split(s, d):
-    return fx.detections(s, d).filter("class_id >= 1").select("page_id", "det_id", F.when(F.col("class_id") >= 2, "line").otherwise("region").alias("kind"))
+    return filters.split_classes(fx.detections(s, d)).select("page_id", "det_id", "kind")
 
 
 def _area_filter(s, d):
-    part = G.box_area(F.col("box")) / F.lit(2400.0 * 1600)
-    return fx.detections(s, d).select("page_id", "det_id", F.round(part, 9).alias("area_fraction")).filter("area_fraction > 0.003")
+    sized = fx.detections(s, d).withColumns({"width": F.lit(2400), "height": F.lit(1600)})
+    return filters.large_enough(sized, 0.003).select("page_id", "det_id", F.round("area_fraction", 9).alias("area_fraction"))
 
 
 def _sliver_filter(s, d):
-    b = F.col("box")
-    return fx.lines(s, d).filter(F.least(G.width(b), G.height(b)) > 0.01 * F.least(F.lit(3100), F.lit(2400))).select("page_id", "det_id")
+    return filters.no_slivers(fx.lines(s, d).withColumns({"width": F.lit(3100), "height": F.lit(2400)})).select("page_id", "det_id")
 
 
 def _box_features(s, d):
@@ -172,14 +171,14 @@ def _assigned(s, d):
     return assign.assign_regions(fx.line_boxes(s, d), fx.region_boxes(s, d))
 
 
-def _with_default(s, d):
+def _with_default(lines: DataFrame, regions: DataFrame) -> DataFrame:
     """Region boxes, and a whole-page region for each page with lines but no region detection."""
-    lines = fx.line_boxes(s, d)
-    return assign.with_default_regions(lines, fx.region_boxes(s, d), lines.select("page_id", F.lit(PAGE[0]).alias("width"), F.lit(PAGE[1]).alias("height")).distinct())
+    return assign.with_default_regions(lines, regions, lines.select("page_id", F.lit(PAGE[0]).alias("width"), F.lit(PAGE[1]).alias("height")).distinct())
 
 
 def _assigned_whole(s, d):
-    return assign.assign_regions(fx.line_boxes(s, d), _with_default(s, d))
+    lines = fx.line_boxes(s, d)
+    return assign.assign_regions(lines, _with_default(lines, fx.region_boxes(s, d)))
 
 
 def _best(s, d):
@@ -208,14 +207,12 @@ def _graph(direction: str) -> Query:
     return lambda s, d: order.order_lines(fx.order_boxes(s, d), ["page_id"], direction)
 
 
-def _order_regions(s, d):
+def _order_regions(s, d, ordered=order.order_lines):
     """Regions of a page in order, and the lines of each region in order, numbered through."""
-    lines, regions = fx.line_boxes(s, d), _with_default(s, d)
-    inside = _assigned_whole(s, d).filter("region_id is not null").join(lines.select("page_id", "line_id", "box"), ["page_id", "line_id"])
-    by_line = order.order_lines(inside.select("page_id", "region_id", F.col("line_id").alias("id"), "box"), ["page_id", "region_id"])
-    used = regions.join(inside.select("page_id", "region_id"), ["page_id", "region_id"], "left_semi")
-    by_region = order.order_lines(used.select("page_id", F.col("region_pos").alias("id"), "box"), ["page_id"]).select("page_id", F.col("id").cast("string").alias("region_id"), F.col("ord").alias("region_ord"))
-    return by_line.join(by_region, ["page_id", "region_id"]).select("page_id", "region_id", F.col("id").alias("line_id"), "region_ord", F.col("ord").alias("line_ord"))
+    found = fx.pinned(s, d)
+    lines = fx.lines_of(found)
+    regions = _with_default(lines, fx.regions_of(found))
+    return order.regions_then_lines(lines, regions, assign.assign_regions(lines, regions), ordered)
 
 
 def _partial(compat: bool) -> Query:
@@ -296,8 +293,7 @@ def _page_xml(parts) -> Query:
 def _alto_xml(s, d):
     p, r, ls = _xml_parts(s, d)
     st = current_rows(table(s, d, "page_stats"), ["page_id"], ["computed_at"])
-    # to quarters, whose two decimals are the same in every engine
-    st = st.select("page_id", *[(F.rint(F.col(c) * 4) / 4).alias(c) for c in _CONF], "n_long_rowtext", "language")
+    st = st.select("page_id", *_CONF, "n_long_rowtext", "language")
     return xml.alto_xml(p.join(st, "page_id"), r, ls)
 
 
@@ -319,12 +315,16 @@ def _line_ids(r, ls):
     return both.select("page_id", "line_pos", F.format_string("r%dl%d", "region_ord", "line_ord").alias("page_line_id"), F.concat("xml_id", F.lit("_line_"), F.col("line_ord").cast("string")).alias("alto_line_id"), F.format_string("readingOrder {index:%d;}", "line_ord").alias("custom"))
 
 
-def _roundtrip(s, d):
-    """Texts read back from the PAGE documents of all lines."""
-    labelled = nested.labelled_records(_page_xml(_whole_parts)(s, d).withColumn("at", F.lit(0)), ["page_id"], "at")
-    lines = nested.node_table(labelled, ["page_id"], "line", "region").select("page_id", "pre", F.col("id").alias("line_id"), F.col("parent_id").alias("region_id"))
-    texts = nested.node_table(labelled, ["page_id"], "text", "line").select("page_id", F.col("parent_pre").alias("pre"), F.coalesce("value", F.lit("")).alias("text"))
-    return lines.join(texts, ["page_id", "pre"]).select("page_id", "line_id", "region_id", "text")
+def _roundtrip(parts) -> Query:
+    """Texts read back from PAGE documents."""
+
+    def q(s, d):
+        labelled = nested.labelled_records(_page_xml(parts)(s, d).withColumn("at", F.lit(0)), ["page_id"], "at")
+        lines = nested.node_table(labelled, ["page_id"], "line", "region").select("page_id", "pre", F.col("id").alias("line_id"), F.col("parent_id").alias("region_id"))
+        texts = nested.node_table(labelled, ["page_id"], "text", "line").select("page_id", F.col("parent_pre").alias("pre"), F.coalesce("value", F.lit("")).alias("text"))
+        return lines.join(texts, ["page_id", "pre"]).select("page_id", "line_id", "region_id", "text")
+
+    return q
 
 
 def _polygon_iou(s, d):
@@ -354,9 +354,10 @@ def _format(s, d):
 
 def _flagship(s, d):
     """Boxes to regions, lines in order by page, statistics by page."""
-    lines = fx.line_boxes(s, d)
+    found = fx.pinned(s, d)
+    lines, regions = fx.lines_of(found), fx.regions_of(found)
     ranked = order.order_lines(lines.select("page_id", F.col("line_id").alias("id"), "box"), ["page_id"]).select("page_id", F.col("id").alias("line_id"), "ord")
-    both = _assigned(s, d).join(ranked, ["page_id", "line_id"]).join(lines.select("page_id", "line_id", "text_conf"), ["page_id", "line_id"])
+    both = assign.assign_regions(lines, regions).join(ranked, ["page_id", "line_id"]).join(lines.select("page_id", "line_id", "text_conf"), ["page_id", "line_id"])
     return both.groupBy("page_id").agg(
         F.count("*").alias("n_lines"), F.count_if(F.col("how") == "overlap").alias("n_overlap"), F.count_if(F.col("how") == "nearest").alias("n_nearest"), F.min_by("line_id", "ord").alias("first_line"), F.round(F.avg("text_conf"), 6).alias("page_conf_mean")
     )
@@ -386,10 +387,10 @@ def queries() -> dict[str, Query]:
         "dissolve_hull": _dissolve(merge.dissolve_hull), "dissolve_polygon": _dissolve(merge.dissolve_polygon),
         "default_region": _default(False), "default_region_compat": _default(True), "best_region": _best, "nearest_region": _nearest, "assign_regions": _assigned, "region_line_join": _region_lines, "region_semi": _used,
         "order_graph_lr": _graph("lr"), "order_graph_rl": _graph("rl"), "order_graph_cyclic": lambda s, d: order.order_lines(fx.staircase(s, d), ["page_id"]),
-        "order_center": lambda s, d: order.center_degrees(fx.order_boxes(s, d), ["page_id"]), "order_regions": _order_regions,
+        "order_center": lambda s, d: order.center_degrees(fx.order_boxes(s, d), ["page_id"]), "order_regions": _order_regions, "order_regions_partial": lambda s, d: _order_regions(s, d, order.order_partial),
         "partial_order_intended": _partial(False), "partial_order_compat": _partial(True), "partial_order_sorted": lambda s, d: order.order_partial(fx.order_boxes(s, d), ["page_id"]),
         "rec_batches": lambda s, d: stats.batches(line(s, d).select("page_id", "line_pos"), 8).groupBy("page_id", "batch").agg(F.count("*").alias("n"), F.min("line_pos").alias("first_pos")),
-        "score_exp": lambda s, d: table(s, d, "line_texts").select("line_uid", F.round(F.exp(F.log("text_conf")), 6).alias("score")).distinct(),
+        "score_exp": lambda s, d: line(s, d).select("page_id", "line_pos", F.round(F.exp(-10 * (1 - F.col("text_conf"))), 9).alias("score")),
         "row_length": lambda s, d: line(s, d).select("page_id", "line_pos", F.length("text").alias("row_length")),
         "page_stats": _page_stats, "long_rows": lambda s, d: line(s, d).filter(F.length("text") > stats.LONG).groupBy("page_id").agg(F.count("*").alias("n_long_rowtext")),
         "page_text": lambda s, d: cur.page_text(line(s, d)), "language_id": lambda s, d: cur.language_summary(line(s, d)),
@@ -398,7 +399,7 @@ def queries() -> dict[str, Query]:
         "flatten_lines": _flatten_lines, "renest_counts": _renest, "region_result": _region_result,
         **{f"{name}_whole": functools.partial(fn, assigned=_assigned_whole) for name, fn in (("flatten_lines", _flatten_lines), ("renest_counts", _renest), ("region_result", _region_result))}, "zip_lists": _zip_lists,
         "region_ids": lambda s, d: _named_regions(s, d).select("page_id", "region_id", "name", "region_ord", "xml_id"), "xml_ids": _xml_ids(_xml_parts),
-        "page_xml": _page_xml(_xml_parts), "alto_xml": _alto_xml, "page_xml_whole": _page_xml(_whole_parts), "alto_xml_whole": _alto_xml_whole, "xml_ids_whole": _xml_ids(_whole_parts), "xml_roundtrip": _roundtrip, "xml_targets": lambda s, d: nest.xml_targets(table(s, d, "pages"), "/out", ["page", "alto"]), "xml_timestamp": _stamps,
+        "page_xml": _page_xml(_xml_parts), "alto_xml": _alto_xml, "page_xml_whole": _page_xml(_whole_parts), "alto_xml_whole": _alto_xml_whole, "xml_ids_whole": _xml_ids(_whole_parts), "xml_roundtrip": _roundtrip(_whole_parts), "xml_roundtrip_named": _roundtrip(_xml_parts), "xml_targets": lambda s, d: nest.xml_targets(table(s, d, "pages"), "/out", ["page", "alto"]), "xml_timestamp": _stamps,
         "round_robin": lambda s, d: nest.round_robin(table(s, d, "pages").select("page_id", "path"), 4), "format_2dp": _format,
         "p3_found": nested.p3_found, "p3_pages": nested.p3_pages, "p3_regions": nested.p3_regions, "p3_lines": nested.p3_lines, "p3_texts": nested.p3_texts,
     }
