@@ -87,3 +87,45 @@ def recognise(lines: DataFrame, provider: Callable[[], Callable], batch: int = 8
             yield pd.DataFrame(out, columns=["page_id", "line_pos", "text", "text_conf"])
 
     return lines.select("page_id", "line_pos", "polygon", "content").mapInPandas(run, "page_id BIGINT, line_pos INT, text STRING, text_conf DOUBLE")
+
+
+def sizes(images: DataFrame) -> DataFrame:
+    """page_id, height, width of images (page_id, content); NULL for one that can't be decoded."""
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for page, content in zip(pdf["page_id"], pdf["content"]):
+                try:
+                    out.append((page, *raster.decode(bytes(content)).shape[:2]))
+                except Exception:  # noqa: BLE001 - the image has no size
+                    out.append((page, None, None))
+            yield pd.DataFrame(out, columns=["page_id", "height", "width"]).astype({"height": "Int32", "width": "Int32"})
+
+    return images.select("page_id", "content").mapInPandas(run, "page_id BIGINT, height INT, width INT")
+
+
+def recognise_pages(pages: DataFrame, provider: Callable[[], Callable], batch: int = 8) -> DataFrame:
+    """As ``recognise``, of pages (page_id, content, lines: array of line_pos and polygon): an image is joined, sent and
+    decoded once for all its lines."""
+    import pandas as pd
+
+    def run(batches):
+        model = provider()
+        for pdf in batches:
+            for page, content, lines in zip(pdf["page_id"], pdf["content"], pdf["lines"]):
+                out = [[page, x["line_pos"], None, 0.0] for x in lines]
+                try:
+                    image = raster.decode(bytes(content))
+                except Exception:  # noqa: BLE001 - the lines stay without texts
+                    image = None
+                rings = [[(p["x"], p["y"]) for p in x["polygon"]] if x["polygon"] is not None else [] for x in lines]
+                at = [k for k, ring in enumerate(rings) if image is not None and len(ring) >= 3]
+                for a in range(0, len(at), batch):
+                    some = at[a : a + batch]
+                    for k, (text, score) in zip(some, model([raster.crop_polygon(image, rings[k]) for k in some])):
+                        out[k][2:] = [text, math.exp(score)]
+                yield pd.DataFrame(out, columns=["page_id", "line_pos", "text", "text_conf"])
+
+    return pages.select("page_id", "content", "lines").mapInPandas(run, "page_id BIGINT, line_pos INT, text STRING, text_conf DOUBLE")
