@@ -63,10 +63,11 @@ def test_many_spellings_give_a_row_a_line(spark, write_tables):
     texts = [f"the same text{'\u200b' * k} for all of us" for k in range(len(marks))]
     got = lookalikes.p5_found(spark, write_tables(line_texts=lines(1, texts))).collect()
     assert len(got) <= len(texts) and {u for r in got for u in r} == {1000 + k for k in range(len(texts))}
-    to = {1000: {1000}}
-    for a, b in sorted(map(tuple, got)):
-        to.setdefault(a, {a}).add(b)
-    assert to[1000] == {1000 + k for k in range(len(texts))}
+    root = {u: u for r in got for u in r}
+    for _ in range(3):
+        for a, b in map(tuple, got):
+            root[a] = root[b] = min(root[a], root[b])
+    assert set(root.values()) == {1000}
 
 
 # ---------------------------------------------------------------- pages

@@ -5,7 +5,7 @@ look the same.  Originals are grouped by the skeleton's 128-bit hash, so that a
 
 Copies of one text form one class (skeleton, text); classes are pre-aggregated before anything is joined, so a skeleton held by
 a third of all rows costs one row per distinct text and partition.  Lines of a skeleton with up to PAIRED lines are all
-paired; in a larger one, each line is paired with the first line of another text than its own - a row a line, which
+paired; in a larger one, each line is paired with the first line of one text, or that text's with another - a row a line, which
 links them all - and ``p5_classes`` gives the membership.  NULL texts and texts under ``MIN_LENGTH`` characters give no
 pair; repeated recognitions count once (the latest)."""
 
@@ -42,14 +42,12 @@ def hashed_lines(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def look_alike_classes(hashed: DataFrame) -> DataFrame:
-    """skel, txt, rep, copies, and the skeleton's lines, texts, its first line (first_txt, first_uid) and the first of any
-    other text (other_uid), of every text that another text looks like."""
+    """skel, txt, rep, copies of every text that another text looks like, and of its skeleton: lines, n_texts, its first line
+    (first_uid), one of its texts (one_txt), and the first lines of that (one_uid) and of another text (other_uid)."""
     classes = hashed.groupBy("skel", "txt").agg(F.min("line_uid").alias("rep"), F.count("*").alias("copies"))
-    whole = classes.groupBy("skel").agg(F.min(F.struct("rep", "txt")).alias("first"), F.sum("copies").alias("lines"), F.count("*").alias("n_texts")).filter("n_texts > 1")
-    whole = whole.select("skel", F.col("first.txt").alias("first_txt"), F.col("first.rep").alias("first_uid"), "lines", "n_texts")
-    joined = classes.join(whole, "skel")
-    other = joined.filter("txt <> first_txt").groupBy("skel").agg(F.min("rep").alias("other_uid"))
-    return joined.join(other, "skel")
+    one, other = F.struct("txt", "rep"), F.count("*").alias("n_texts")
+    whole = classes.groupBy("skel").agg(F.min(one).alias("one"), F.max(one).alias("other"), F.min("rep").alias("first_uid"), F.sum("copies").alias("lines"), other).filter("n_texts > 1")
+    return classes.join(whole.select("skel", F.col("one.txt").alias("one_txt"), F.col("one.rep").alias("one_uid"), F.col("other.rep").alias("other_uid"), "first_uid", "lines", "n_texts"), "skel")
 
 
 def p5_classes(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -64,12 +62,12 @@ def p5_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """uid_a, uid_b of lines that look the same but whose texts differ, the smaller first."""
     hashed = checkpoint(hashed_lines(spark, data_dir))
     classes = checkpoint(look_alike_classes(hashed))
-    rows = hashed.join(classes, ["skel", "txt"]).select("skel", "txt", "line_uid", "lines", "first_txt", "first_uid", "other_uid")
+    rows = hashed.join(classes, ["skel", "txt"]).select("skel", "txt", "line_uid", "lines", "one_txt", "one_uid", "other_uid")
     few = rows.filter(F.col("lines") <= PAIRED).select("skel", "txt", "line_uid")
     a, b = few.alias("a"), few.alias("b")
     pairs = a.join(b, (F.col("a.skel") == F.col("b.skel")) & (F.col("a.txt") != F.col("b.txt")) & (F.col("a.line_uid") < F.col("b.line_uid")))
     pairs = pairs.select(F.col("a.line_uid").alias("uid_a"), F.col("b.line_uid").alias("uid_b"))
-    mate = F.when(F.col("txt") == F.col("first_txt"), F.col("other_uid")).otherwise(F.col("first_uid"))
+    mate = F.when(F.col("txt") == F.col("one_txt"), F.col("other_uid")).otherwise(F.col("one_uid"))
     many = rows.filter(F.col("lines") > PAIRED).select(F.least("line_uid", mate).alias("uid_a"), F.greatest("line_uid", mate).alias("uid_b"))
     return pairs.unionByName(many).distinct()
 
