@@ -241,7 +241,8 @@ def document_scores(documents: DataFrame) -> DataFrame:
     # pinned: a chunk's number must mean the same documents in both of its uses
     pieces = checkpoint(documents.select("doc_id", "text", host.alias("host")).mapInArrow(_read(buckets), _PIECES))
     asked = pieces.filter("bucket >= 0").select("chunk", "bucket", "n", "phrases", "hosts")
-    bits = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_mapped(_answer, _BITS), _BITS)
+    # by range: a few buckets a partition, hashed, would fall unevenly
+    bits = asked.repartitionByRange(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_mapped(_answer, _BITS), _BITS)
     none = F.lit(None).cast("binary")
     docs = pieces.filter("bucket < 0").select("chunk", "bucket", "n", F.col("phrases").alias("place"), F.col("hosts").alias("times"), none.alias("bits"), "docs")
     both = docs.unionByName(bits.select("chunk", "bucket", "n", none.alias("place"), none.alias("times"), "bits", none.alias("docs")))
