@@ -1,6 +1,7 @@
 """Boxes, order, tiles and rasters on cases worked out by hand, and properties."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -160,6 +161,41 @@ def test_polygon_areas_equal_box_areas(a, b):
     assert R.distance(ring(a), ring(b)) == pytest.approx(math.hypot(dx, dy))
 
 
+def ious(pairs):
+    """``polygon_ious`` of pairs of rings."""
+    return R.polygon_ious(*(x for rings in zip(*pairs) for x in (np.array([p for r in rings for p in r]), np.array([len(r) for r in rings]))))
+
+
+outline = st.lists(st.tuples(st.integers(-3, 9), st.integers(-3, 9)), min_size=1, max_size=9)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(outline, outline), min_size=1, max_size=8))
+def test_ious_of_many_polygons_equal_those_of_one(pairs):
+    assert ious(pairs).tolist() == pytest.approx([R.polygon_iou(p, q) for p, q in pairs], abs=1e-12)
+
+
+def test_ious_of_many_polygons_are_measured_together():
+    rng = np.random.default_rng(1)
+    corners = np.array([(0, 0), (800, 0), (800, 90), (0, 90)])
+    pairs = [((corners + rng.integers(0, 900, 2) + rng.integers(-5, 6, (4, 2))).tolist(), [(0, 0), (1500, 5), (1490, 1000), (4, 990)]) for _ in range(4000)]
+    began = time.process_time()
+    got = ious(pairs)
+    batch = time.process_time() - began
+    some = [R.polygon_iou(p, q) for p, q in pairs[:400]]
+    assert got[:400].tolist() == pytest.approx(some, abs=1e-12) and 0 < got.min()
+    # ten times the pairs in less time
+    assert batch < time.process_time() - began - batch
+
+
+def test_ious_of_large_polygons(monkeypatch):
+    turn = np.linspace(0, 2 * np.pi, 300, endpoint=False)
+    star = [(int(5000 + 4000 * math.cos(3 * t)), int(5000 + (3000 + 900 * math.cos(7 * t)) * math.sin(t))) for t in turn]
+    moved = [(x + 70, y + 100) for x, y in star]
+    monkeypatch.setattr(R, "CELLS", 500)  # a few edges and heights at a time
+    assert ious([(star, moved), (star[:3], star)]).tolist() == pytest.approx([R.polygon_iou(star, moved), R.polygon_iou(star[:3], star)], abs=1e-9)
+
+
 def test_contours_and_crops():
     m = np.zeros((6, 7), dtype=bool)
     m[1:4, 2:6] = True

@@ -52,3 +52,13 @@ def test_pages_without_a_region_detection_are_ordered(spark, write_tables):
     assert flat == {(1, 0, 0, 1, 0), (2, 0, 0, 1, 0), (2, 0, 1, 0, 1)}
     assert QUERIES["renest_counts_whole"](spark, d).count() == 3
     assert {(r.page_id, r.n_lines, r.line_ids) for r in QUERIES["region_result_whole"](spark, d).collect()} == {(1, 1, "1"), (2, 2, "1 0")}
+
+
+def test_ious_of_lines_with_their_regions(spark, write_tables):
+    square = outline(0, 0, 10, 10)
+    polygons = [outline(0, 0, 10, 5), outline(5, 5, 15, 15), outline(10, 0, 20, 10), [(0, 0), (10, 10), (10, 0), (0, 10)], [(0, 0), (10, 0), (0, 10)], [*square, square[0]], [(0, 0), (10, None), (0, 10)], [(0, 0), None, (0, 10)], [(0, 0), (10, 10)], None]
+    lines = [line(1, k, "0", p) for k, p in enumerate(polygons)] + [line(2, 0, "0", square), line(1, 90, "1", square), line(1, 91, None, square)]
+    d = write_tables(line_texts=lines, regions=[{"page_id": 1, "region_id": "0", "coords": square}, {"page_id": 1, "region_id": "1", "coords": square[:2]}, {"page_id": 2, "region_id": "0", "coords": None}])
+    got = {(r.page_id, r.line_pos): r.iou for r in QUERIES["polygon_iou"](spark, d).collect()}
+    # no value where a coordinate is missing
+    assert got == {(1, 0): 0.5, (1, 1): 0.142857, (1, 2): 0.0, (1, 3): 0.5, (1, 4): 0.5, (1, 5): 1.0, (1, 6): None, (1, 7): None}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 
 
@@ -24,6 +25,14 @@ def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[object
         yield now, rows
 
 
+def points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A column of outlines without NULLs as (x, y) of all their points, one after the other, and the points of each.
+    NULL coordinates become NaN."""
+    flat = column.flatten()
+    parts = dict(zip((f.name for f in flat.type), flat.flatten()))
+    return np.stack([parts[k].to_numpy(zero_copy_only=False) for k in ("x", "y")], axis=1), column.value_lengths().to_numpy(zero_copy_only=False)
+
+
 def batches_of(rows: Iterable[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of up to ``size`` rows."""
     out: list[tuple] = []

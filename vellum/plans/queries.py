@@ -5,9 +5,10 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vellum.functions import geometry as G
 from vellum.operators import assign, filters, merge, nest, nested, order, stats, suppress, tiling, xml
@@ -330,15 +331,18 @@ def _roundtrip(parts) -> Query:
 def _polygon_iou(s, d):
     """IoU of the lines' outlines with their region's, where both have one."""
     from vellum.functions import raster
+    from vellum.functions.arrow import points
 
-    @F.pandas_udf("double")
-    def iou(a: pd.Series, b: pd.Series) -> pd.Series:
-        xy = lambda pts: [(p["x"], p["y"]) for p in pts]
-        return pd.Series([raster.polygon_iou(xy(p), xy(q)) for p, q in zip(a, b)], dtype="float64")
+    def run(batches):
+        for batch in batches:
+            iou = raster.polygon_ious(*points(batch.column("polygon")), *points(batch.column("coords")))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("line_pos"), pa.array(iou, from_pandas=True)], names=["page_id", "line_pos", "iou"])
 
     a = fx.current_lines(s, d).filter("size(polygon) >= 3").select("page_id", "line_pos", "region_id", "polygon")
     b = table(s, d, "regions").filter("size(coords) >= 3").select("page_id", "region_id", "coords")
-    return a.join(b, ["page_id", "region_id"]).select("page_id", "line_pos", F.round(iou("polygon", "coords"), 6).alias("iou"))
+    pairs = a.join(b, ["page_id", "region_id"]).select("page_id", "line_pos", "polygon", "coords")
+    schema = T.StructType([*(pairs.schema[c] for c in ("page_id", "line_pos")), T.StructField("iou", T.DoubleType())])
+    return pairs.mapInArrow(run, schema).withColumn("iou", F.round("iou", 6))
 
 
 def _zip_lists(s, d):
